@@ -2,7 +2,7 @@
 
 A load may run any number of times: rows are published into one partition per
 ingestion day, a second batch on the same day is merged into it, and the
-high-water mark moves only after the published rows pass their checks.
+high-water mark moves only after the rows pass their checks.
 """
 
 import logging
@@ -13,7 +13,7 @@ from zlib import crc32
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ledgerflow.functions.dates import as_timestamp
+from ledgerflow.functions.dates import as_date, as_timestamp
 from ledgerflow.operators.checks import (
     apply_standard_checks, conform, latest_per_key, require_schema,
 )
@@ -37,7 +37,7 @@ WATERMARKS = "banking/metadata/watermarks"
 
 
 class ValidationFailed(RuntimeError):
-    """Published rows failed a check; the high-water mark was left alone."""
+    """Loaded rows failed a check; the high-water mark was left alone."""
 
 
 @dataclass(frozen=True)
@@ -59,6 +59,7 @@ class Load:
     updated: str = "last_updated"
     max_age_hours: int = 24
     raise_on_failure: bool = True
+    check_first: bool = False
 
 
 def customer_load(source: Callable[[], DataFrame], as_of=None, path="banking/customers") -> Load:
@@ -114,28 +115,40 @@ def staging_path(spark: SparkSession, base_uri: str, target: str) -> str:
     return f"{shared}/staged-{crc32(target.encode()):08x}"
 
 
-def publish(spark: SparkSession, load: Load, batch: DataFrame, base_uri: str, day: str) -> None:
-    """Write the day's partition and leave all other days alone.
+def stage(spark: SparkSession, rows: DataFrame, base_uri: str, target: str) -> DataFrame:
+    """Rows cut off from the table they will replace, on shared storage."""
+    path = staging_path(spark, base_uri, target)
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
-    The first batch of a day is written as it arrives. A later one is merged
-    with the day, latest row per key, and staged first because a table cannot
-    be read and overwritten in one job.
+
+def publish(rows: DataFrame, load: Load, base_uri: str) -> None:
+    """Replace the partition of the rows' day and leave all other days alone.
+
+    There is one day only and the rows are spread by key already, so they are
+    written as they lie: regrouping them by day would shuffle for nothing.
     """
-    target = lake_path(base_uri, load.path)
-    rows = batch.withColumn(DAY, F.to_date(STAMP))
-    earlier = read_day(spark, target, day, rows.schema)
-    if earlier is not None:
-        merged = latest_per_key(earlier.unionByName(rows), load.keys, [load.updated, STAMP])
-        staged = staging_path(spark, base_uri, target)
-        merged.write.mode("overwrite").parquet(staged)
-        rows = spark.read.schema(rows.schema).parquet(staged)
-    # One day only, already spread by key: regrouping by day would shuffle for nothing.
     write_parquet(
         rows, base_uri, load.path, partition_by=[DAY], mode="overwrite",
         dynamic=True, rebalance=False,
     )
 
 
+def check(rows: DataFrame, load: Load, stamp: str) -> Row:
+    """The quality report; a failed one is logged, or raised if the load says so."""
+    report = quality_report(
+        rows, load.keys, load.required, STAMP, load.max_age_hours, stamp, load.updated
+    ).withColumn("high_water", F.col("high_water").cast("string")).first()
+    if not report["passed"]:
+        log.warning(
+            "%s: %d duplicate rows, %d nulls in required columns, fresh: %s",
+            load.entity, report["duplicate_rows"], report["null_cells"], report["is_fresh"],
+        )
+        if load.raise_on_failure:
+            raise ValidationFailed(f"{load.entity}: rows of {day_of(stamp)} failed their checks")
+    return report
+
+
 def run_load(
     spark: SparkSession, load: Load, base_uri: str, ingested_at: str | None = None
 ) -> Row:
@@ -143,36 +156,37 @@ def run_load(
 
     ``ingested_at`` ("yyyy-MM-dd HH:mm:ss", session time zone) is taken once
     per run, so a run crossing midnight stays within one day's partition.
+
+    The first batch of a day is written once and checked as read back. A later
+    one is merged with the day, latest row per key; it has to be staged, since
+    a table cannot be read and overwritten in one job, and is checked before it
+    replaces the day. ``check_first`` stages and checks the first batch too.
     """
     stamp = ingested_at or spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0]
     day = day_of(stamp)
+    target = lake_path(base_uri, load.path)
     watermarks = lake_path(base_uri, WATERMARKS)
 
     mark = read_watermark(spark, watermarks, load.entity)
     log.info("%s: %s", load.entity, f"changes since {mark}" if mark else "full load")
     raw = conform(changed_since(load.source(), load.updated, mark), load.schema)
-    batch = load.transform(raw, stamp)
-    publish(spark, load, batch, base_uri, day)
-
-    published = read_day(
-        spark, lake_path(base_uri, load.path), day, batch.withColumn(DAY, F.to_date(STAMP)).schema
-    )
-    if published is None:  # an empty batch leaves no folder behind
-        published = batch.limit(0)
-    report = quality_report(
-        published, load.keys, load.required, STAMP, load.max_age_hours, stamp, load.updated
-    ).withColumn("high_water", F.col("high_water").cast("string")).first()
-
-    if report["passed"]:
-        if report["high_water"] is not None:
-            update_watermark(spark, watermarks, load.entity, report["high_water"], stamp)
-        return report
-    log.warning(
-        "%s: %d duplicate rows, %d nulls in required columns, fresh: %s",
-        load.entity, report["duplicate_rows"], report["null_cells"], report["is_fresh"],
-    )
-    if load.raise_on_failure:
-        raise ValidationFailed(f"{load.entity}: published rows of {day} failed their checks")
+    batch = load.transform(raw, stamp).withColumn(DAY, as_date(day))
+
+    earlier = read_day(spark, target, day, batch.schema)
+    if earlier is None and not load.check_first:
+        publish(batch, load, base_uri)
+        written = read_day(spark, target, day, batch.schema)
+        # An empty batch leaves no partition behind.
+        report = check(batch.limit(0) if written is None else written, load, stamp)
+    else:
+        if earlier is not None:
+            batch = latest_per_key(earlier.unionByName(batch), load.keys, [load.updated, STAMP])
+        staged = stage(spark, batch, base_uri, target)
+        report = check(staged, load, stamp)
+        publish(staged, load, base_uri)
+
+    if report["passed"] and report["high_water"] is not None:
+        update_watermark(spark, watermarks, load.entity, report["high_water"], stamp)
     return report
 
 

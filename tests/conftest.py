@@ -1,7 +1,18 @@
+from contextlib import redirect_stdout
+from io import StringIO
+
 import pytest
 from pyspark.sql import SparkSession
 
 
+def plan_text(df):
+    """What ``explain`` prints."""
+    out = StringIO()
+    with redirect_stdout(out):
+        df.explain()
+    return out.getvalue()
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")

@@ -1,0 +1,167 @@
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+
+import pytest
+
+from conftest import plan_text
+from ledgerflow.functions.account import in_usd
+from ledgerflow.operators.currency import broadcast_bytes, join_rates, missing_rates, usd_quotes
+from ledgerflow.plans.account import transform_account_data
+from ledgerflow.schemas import ACCOUNT, ACCOUNT_OUTPUT, EXCHANGE_RATE
+
+AS_OF = date(2024, 1, 1)
+
+BASE = dict(
+    account_id="A", customer_id="C", account_type="CHECKING", account_subtype=None,
+    open_date=date(2023, 1, 1), close_date=None, status="ACTIVE", currency_code="EUR",
+    current_balance=Decimal("100.0000"), available_balance=Decimal("40.0000"),
+    hold_balance=None, interest_rate=None, overdraft_limit=Decimal("500.00"),
+    last_activity_date=None, branch_id=None, primary_holder=None, secondary_holders=None,
+    account_manager=None, last_updated=datetime(2023, 12, 31),
+)
+
+RATES = [("EUR", "USD", Decimal("1.10000000")), ("CHF", "EUR", Decimal("0.95000000"))]
+
+
+def accounts(spark, *changes):
+    rows = [tuple({**BASE, "account_id": f"{i:04}", **c}.values()) for i, c in enumerate(changes)]
+    return spark.createDataFrame(rows, ACCOUNT)
+
+
+def rates(spark, rows=RATES):
+    return spark.createDataFrame(rows, EXCHANGE_RATE)
+
+
+def profiles(spark, *changes):
+    frame = accounts(spark, *changes)
+    return transform_account_data(frame, rates(spark), AS_OF, "2024-01-01 00:00:00").orderBy("account_id").collect()
+
+
+def test_output_columns_and_types(spark):
+    result = transform_account_data(accounts(spark, {}), rates(spark))
+    assert result.columns == ACCOUNT_OUTPUT
+    types = dict(result.dtypes)
+    assert types["usd_current_balance"] == types["usd_available_balance"] == "decimal(38,8)"
+    assert types["balance_diff"] == "decimal(21,4)"
+    assert types["account_age_days"] == "int" and types["account_age_years"] == "double"
+
+
+def test_balances_in_dollars(spark):
+    quoted, other, home, unknown = profiles(
+        spark, {}, {"currency_code": "CHF"}, {"currency_code": "USD"}, {"currency_code": "JPY"}
+    )
+    assert (quoted.usd_current_balance, quoted.usd_available_balance) == (110, 44)
+    for unchanged in (other, home, unknown):
+        assert (unchanged.usd_current_balance, unchanged.usd_available_balance) == (100, 40)
+
+
+def test_conversion_rounds_once(spark):
+    # 0.000049954995: cut to eleven decimals first, it would round up to ...96.
+    frame = accounts(spark, {"current_balance": Decimal("1.0001")})
+    rate = Decimal("0.00004995")
+    exact = (Decimal("1.0001") * rate).quantize(Decimal("1e-8"))
+    row = join_rates(frame, rates(spark, [("EUR", "USD", rate)])).select(in_usd("current_balance").alias("usd")).first()
+    assert row.usd == exact
+
+
+def test_random_conversions_match_exact_arithmetic(spark):
+    from decimal import ROUND_HALF_UP, localcontext
+    from random import Random
+
+    random = Random(7)
+    quotes = [(f"Q{i}", "USD", Decimal(random.randrange(1, 10**12)).scaleb(-8)) for i in range(200)]
+    changes = [
+        {"currency_code": q[0], "current_balance": Decimal(random.randrange(-10**16, 10**16)).scaleb(-4)}
+        for q in quotes for _ in range(20)
+    ]
+    frame = accounts(spark, *changes)
+    got = {
+        r.account_id: r.usd
+        for r in join_rates(frame, rates(spark, quotes)).select("account_id", in_usd("current_balance").alias("usd")).collect()
+    }
+    by_code = {q[0]: q[2] for q in quotes}
+    with localcontext() as context:
+        context.prec = 60
+        for i, change in enumerate(changes):
+            product = change["current_balance"] * by_code[change["currency_code"]]
+            assert got[f"{i:04}"] == product.quantize(Decimal("1e-8"), ROUND_HALF_UP)
+
+
+def test_flags_and_nulls(spark):
+    plain, ended, negative, unset = profiles(
+        spark, {},
+        {"status": "active", "close_date": date(2023, 5, 1)},
+        {"available_balance": Decimal("-0.0001"), "overdraft_limit": Decimal("0.00")},
+        {"available_balance": Decimal("0.0000"), "overdraft_limit": None},
+    )
+    assert (plain.is_active, plain.is_closed) == (True, False)
+    assert (ended.is_active, ended.is_closed) == (False, True)
+    assert (plain.is_overdrawn, negative.is_overdrawn, unset.is_overdrawn) == (False, True, False)
+    protection = [r.has_overdraft_protection for r in (plain, negative, unset)]
+    assert protection == [True, False, None]
+    assert plain.balance_diff == 60
+
+
+def test_account_age(spark):
+    row, = profiles(spark, {"open_date": AS_OF - timedelta(365)})
+    assert row.account_age_days == 365
+    assert row.account_age_years == 365 / 365.25
+
+
+@pytest.mark.parametrize("column", ["customer_id", "currency_code", "current_balance", "open_date"])
+def test_required_columns(spark, column):
+    assert len(profiles(spark, {column: None}, {})) == 1
+
+
+def test_several_quotes(spark):
+    both = rates(spark, [*RATES, ("EUR", "GBP", Decimal("0.85000000"))])
+    frame = accounts(spark, {}, {"currency_code": "USD"})
+    assert join_rates(frame, both).count() == 2
+    every = join_rates(frame, both, all_quotes=True)
+    assert sorted(r.to_currency or "" for r in every.collect()) == ["", "GBP", "USD"]
+
+
+def test_second_dollar_quote_fails(spark):
+    twice = rates(spark, [*RATES, ("EUR", "USD", Decimal("1.20000000"))])
+    with pytest.raises(Exception, match="several dollar quotes for EUR"):
+        join_rates(accounts(spark, {}), twice).collect()
+
+
+def test_rates_of_another_type_are_refused(spark):
+    wide = spark.createDataFrame([("EUR", "USD", 1.1)], "from_currency string, to_currency string, exchange_rate double")
+    with pytest.raises(ValueError):
+        join_rates(accounts(spark, {}), wide)
+
+
+def test_missing_rates(spark):
+    frame = accounts(spark, {}, {"currency_code": "USD"}, {"currency_code": "CHF"}, {"currency_code": "JPY"})
+    assert sorted(r.currency_code for r in missing_rates(frame, rates(spark)).collect()) == ["CHF", "JPY"]
+
+
+def test_small_quotes_are_broadcast_and_large_ones_salted(spark):
+    frame = accounts(spark, *({"currency_code": "EUR" if i % 3 else "JPY"} for i in range(90)))
+    quotes = rates(spark, [*RATES, ("EUR", "GBP", Decimal("0.85000000"))])
+
+    small = join_rates(frame, quotes, all_quotes=True)
+    large = join_rates(frame, quotes, all_quotes=True, limit=0)
+    assert "BroadcastHashJoin" in plan_text(small)
+    assert "_salt" not in plan_text(small) and "_salt" in plan_text(large)
+    assert large.columns == small.columns
+    assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
+    assert large.count() == 60 * 2 + 30
+
+    unquoted = missing_rates(frame, quotes, limit=0)
+    assert unquoted.count() == missing_rates(frame, quotes).count() == 30
+
+
+def test_broadcast_estimate_grows_with_the_quotes(spark):
+    one, two = (broadcast_bytes(rates(spark, RATES[:n])) for n in (1, 2))
+    assert 0 < one < two
+    assert broadcast_bytes(usd_quotes(rates(spark, []))) == 0
+
+
+def test_columns_of_the_same_name_in_the_input(spark):
+    from pyspark.sql import functions as F
+
+    frame = accounts(spark, {}).withColumn("exchange_rate", F.lit(9)).withColumn("to_currency", F.lit("X"))
+    assert transform_account_data(frame, rates(spark)).first().usd_current_balance == 110
