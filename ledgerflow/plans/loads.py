@@ -112,7 +112,7 @@ def read_day(spark: SparkSession, target: str, day: str, schema: StructType) ->
 def staging_path(spark: SparkSession, base_uri: str, target: str) -> str:
     """One reused folder per table on shared storage, so leftovers stay bounded."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or lake_path(base_uri, "banking/staging")
-    return f"{shared}/staged-{crc32(target.encode()):08x}"
+    return f"{shared.rstrip('/')}/staged-{crc32(target.encode()):08x}"
 
 
 def stage(spark: SparkSession, rows: DataFrame, base_uri: str, target: str) -> DataFrame:

@@ -109,10 +109,14 @@ def oracle(select: str) -> str:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder on the cluster's shared storage.
+    """A new folder on the storage all executors share.
 
-    A folder of this machine serves only where the session names no shared
-    one, as in local tests.
+    Only a local session that names no such storage gets a folder of this
+    machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerflow-")
-    return f"{shared}/{uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="ledgerflow-")
+    return f"{shared.rstrip('/')}/{uuid4().hex}"
