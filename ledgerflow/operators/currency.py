@@ -1,5 +1,7 @@
 """Accounts joined with exchange quotes."""
 
+from math import ceil
+
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerflow.functions.account import HOME_CURRENCY
@@ -7,6 +9,7 @@ from ledgerflow.operators.checks import require_schema
 from ledgerflow.schemas import EXCHANGE_RATE
 
 BROADCAST_BYTES = 8 * 1024 * 1024
+MOST_HOT = 1000
 ROW_BYTES = 64  # the decimal, the text headers and the hash entry of one quote
 
 
@@ -33,6 +36,49 @@ def broadcast_bytes(quotes: DataFrame) -> int:
     return quotes.agg(F.coalesce(total, F.lit(0)).alias("total")).first()["total"]
 
 
+def hot_currencies(accounts: DataFrame, parts: int) -> list[tuple[str, int]]:
+    """Currencies with more than one in ``MOST_HOT`` accounts, hence fewer than that.
+
+    Each comes with the number of parts its accounts should be spread over.
+    """
+    total = accounts.count()
+    counts = accounts.groupBy("currency_code").count()
+    hot = counts.filter(
+        F.col("currency_code").isNotNull() & (F.col("count") * MOST_HOT > total)
+    )
+    return [(row[0], ceil(row[1] * parts / total)) for row in hot.collect()]
+
+
+def spread_join(accounts: DataFrame, quotes: DataFrame, how: str) -> DataFrame:
+    """Shuffled join on (currency, salt).
+
+    Few currencies hold most accounts. Each hot one is spread over as many
+    salts as its share of the shuffle partitions and its quotes are repeated
+    for each; all others keep one salt, so the quotes hardly grow. The list of
+    hot currencies is read once, so that both sides agree on it, and the salt
+    of an account follows from its task and key, hence is the same on a retry.
+    """
+    spark = accounts.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = hot_currencies(accounts, parts)
+    hot = F.broadcast(spark.createDataFrame(found, "_hot string, _salts int"))
+    nowhere = F.when(F.col("currency_code").isNull(), parts)  # matches no quote anyway
+    salts = F.coalesce(F.col("_salts"), nowhere, F.lit(1))
+    row_salt = F.pmod(F.xxhash64(F.spark_partition_id(), "account_id"), salts)
+    every_salt = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+
+    salted = (
+        accounts.join(hot, F.col("currency_code") == F.col("_hot"), "left")
+        .select(accounts["*"], row_salt.cast("int").alias("_salt"))
+    )
+    repeated = (
+        quotes.join(hot, F.col("from_currency") == F.col("_hot"), "left")
+        .select(quotes["*"], F.explode(every_salt).alias("_quote_salt"))
+    )
+    same = (F.col("currency_code") == F.col("from_currency")) & (F.col("_salt") == F.col("_quote_salt"))
+    return salted.join(repeated, same, how).drop("_salt", "_quote_salt")
+
+
 def join_quotes(
     accounts: DataFrame,
     quotes: DataFrame,
@@ -42,21 +88,12 @@ def join_quotes(
     """Equi-join on the account currency.
 
     Quotes measured within ``limit`` bytes are broadcast and the accounts stay
-    where they are. Beyond it both sides are shuffled on (currency, salt):
-    few currencies hold most accounts, so each currency is spread over as many
-    salts as there are shuffle partitions and its quotes are repeated for each.
-    The salt of a row is fixed by its task and key, hence equal on a retry.
+    where they are; beyond it both sides are shuffled.
     """
+    if broadcast_bytes(quotes) > limit:
+        return spread_join(accounts, quotes, how)
     same_currency = F.col("currency_code") == F.col("from_currency")
-    if broadcast_bytes(quotes) <= limit:
-        return accounts.join(F.broadcast(quotes), same_currency, how)
-    salts = int(accounts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    row_salt = F.pmod(F.xxhash64(F.spark_partition_id(), "account_id"), F.lit(salts))
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted = accounts.withColumn("_salt", row_salt.cast("int"))
-    repeated = quotes.withColumn("_quote_salt", every_salt)
-    same_salt = F.col("_salt") == F.col("_quote_salt")
-    return salted.join(repeated, same_currency & same_salt, how).drop("_salt", "_quote_salt")
+    return accounts.join(F.broadcast(quotes), same_currency, how)
 
 
 def join_rates(

@@ -2,10 +2,11 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan_text
 from ledgerflow.functions.account import in_usd
-from ledgerflow.operators.currency import broadcast_bytes, join_rates, missing_rates, usd_quotes
+from ledgerflow.operators.currency import broadcast_bytes, hot_currencies, join_rates, missing_rates, usd_quotes
 from ledgerflow.plans.account import transform_account_data
 from ledgerflow.schemas import ACCOUNT, ACCOUNT_OUTPUT, EXCHANGE_RATE
 
@@ -150,10 +151,25 @@ def test_small_quotes_are_broadcast_and_large_ones_salted(spark):
     assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
     assert large.count() == 60 * 2 + 30
 
+    assert set(hot_currencies(frame, 8)) == {("EUR", 6), ("JPY", 3)}
+
     unquoted = missing_rates(frame, quotes, limit=0)
     assert unquoted.count() == missing_rates(frame, quotes).count() == 30
 
 
+def test_salted_join_keeps_cold_and_null_currencies(spark):
+    frame = spark.range(4000).select(
+        F.col("id").cast("string").alias("account_id"),
+        F.when(F.col("id") % 3 == 0, "EUR").when(F.col("id") % 3 == 1, F.concat(F.lit("Q"), F.col("id"))).alias("currency_code"),
+    )
+    quotes = rates(spark, [*RATES, ("Q1", "USD", Decimal(2)), ("Q4", "USD", Decimal(3))])
+    assert [c for c, _ in hot_currencies(frame, 8)] == ["EUR"]
+    large, small = (join_rates(frame, quotes, limit=limit) for limit in (0, 10**6))
+    assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
+    assert large.count() == 4000
+    assert large.filter("exchange_rate is not null").count() == 1334 + 2
+
+
 def test_broadcast_estimate_grows_with_the_quotes(spark):
     one, two = (broadcast_bytes(rates(spark, RATES[:n])) for n in (1, 2))
     assert 0 < one < two
@@ -161,7 +177,5 @@ def test_broadcast_estimate_grows_with_the_quotes(spark):
 
 
 def test_columns_of_the_same_name_in_the_input(spark):
-    from pyspark.sql import functions as F
-
     frame = accounts(spark, {}).withColumn("exchange_rate", F.lit(9)).withColumn("to_currency", F.lit("X"))
     assert transform_account_data(frame, rates(spark)).first().usd_current_balance == 110

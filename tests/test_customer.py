@@ -110,3 +110,38 @@ def test_current_date_is_the_default(spark):
     frame = spark.createDataFrame([tuple(BASE.values())], CUSTOMER)
     row = transform_customer_data(frame).first()
     assert row.current_age >= 43 and row.ingestion_timestamp is not None
+
+
+def test_random_customers_match_plain_python(spark):
+    from random import Random
+
+    random = Random(11)
+
+    def maybe(value):
+        return None if random.random() < 0.2 else value
+
+    changes = [
+        {
+            "first_name": maybe("F"), "last_name": maybe("L"), "address_line2": maybe("A"), "city": maybe("C"),
+            "date_of_birth": maybe(AS_OF - timedelta(random.randrange(40000))),
+            "credit_score": maybe(Decimal(random.choice([579, 580, 669, 670, 739, 740, 799, 800]))),
+            "total_assets": maybe(Decimal(random.choice([499999, 500000, 999999, 1000000]))),
+            "kyc_status": maybe(random.choice(["COMPLETE", "PENDING"])),
+        }
+        for _ in range(500)
+    ]
+    for row, change in zip(profiles(spark, *changes), changes, strict=True):
+        score, assets, born = change["credit_score"], change["total_assets"], change["date_of_birth"]
+        names = change["first_name"], change["last_name"]
+        rating = next(
+            (name for name, low in [("Excellent", 800), ("Very Good", 740), ("Good", 670), ("Fair", 580)]
+             if score is not None and score >= low), "Poor",
+        )
+        parts = ["123 Main St", change["address_line2"], change["city"], "NY", "10001", "USA"]
+        assert row.full_name == (None if None in names else "F L")
+        assert row.address == ", ".join(p for p in parts if p)
+        assert row.current_age == (None if born is None else int((AS_OF - born).days / 365.25))
+        assert row.credit_rating == rating
+        assert row.is_high_value == (assets is not None and assets >= 1000000)
+        assert row.is_vip == (assets is not None and assets >= 500000 and rating in ("Excellent", "Very Good"))
+        assert row.is_kyc_complete == (change["kyc_status"] and change["kyc_status"] == "COMPLETE")

@@ -197,3 +197,26 @@ def test_change_filter_is_inclusive_and_reaches_the_scan(spark, tmp_path, kind,
     assert sorted(r.id for r in result.collect()) == list(range(4, 10))
     assert "GreaterThanOrEqual(changed,2024-01-05" in plan_text(result)
     assert changed_since(source, "changed", None).count() == 10
+
+
+def test_marks_and_days_follow_the_session_time_zone(spark, lake):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        load = event_load(spark)
+        run_load(spark, load, lake, "2024-01-01 23:30:00")
+        # 1_700_000_004 seconds after the epoch, five hours west of Greenwich.
+        assert mark(spark, lake, "transactions") == "2023-11-14 17:13:24"
+        assert run_load(spark, load, lake, "2024-01-02 00:30:00").row_count == 1
+        days = published(spark, lake, load.path).groupBy("ingestion_date").count()
+        counts = {str(r.ingestion_date): r["count"] for r in days.collect()}
+        assert counts == {"2024-01-01": 5, "2024-01-02": 1}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_run_time_defaults_to_now(spark, lake):
+    report = run_load(spark, event_load(spark), lake)
+    assert report.passed
+    row = published(spark, lake, "banking/transactions").first()
+    assert row.ingestion_date == row.ingestion_timestamp.date()
