@@ -13,7 +13,11 @@ DEFAULT_PARTITIONS = 10
 
 
 def oracle_options(config: dict) -> dict[str, str]:
-    """Flat reader options for an Oracle service."""
+    """Flat reader options for an Oracle service.
+
+    ``options`` in ``config`` adds or replaces reader options, for instance a
+    ``sessionInitStatement`` with the date formats of a date range scan.
+    """
     missing = [key for key in REQUIRED if key not in config]
     if missing:
         raise ValueError(f"missing Oracle settings: {', '.join(missing)}")
@@ -25,7 +29,8 @@ def oracle_options(config: dict) -> dict[str, str]:
         "oracle.jdbc.readTimeout": str(config.get("read_timeout", 60000)),
         "oracle.net.CONNECT_TIMEOUT": str(config.get("connect_timeout", 10000)),
         # The driver's own default of ten rows per round trip is far too small.
-        "fetchsize": str(config.get("fetch_size", 10000)),
+        "fetchsize": "10000",
+        **config.get("options", {}),
     }
 
 

@@ -77,6 +77,8 @@ def test_oracle_options():
     assert options["oracle.jdbc.readTimeout"] == "60000"
     assert options["oracle.net.CONNECT_TIMEOUT"] == "10000"
     assert int(options["fetchsize"]) > 10
+    more = oracle_options({**ORACLE, "options": {"fetchsize": "500", "sessionInitStatement": "x"}})
+    assert (more["fetchsize"], more["sessionInitStatement"]) == ("500", "x")
 
 
 def test_snowflake_options():
