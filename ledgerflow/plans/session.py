@@ -2,16 +2,19 @@
 
 from math import ceil
 
-PARTITION_BYTES = 256 * 1024 * 1024
+TASK_BYTES = 256 * 1024 * 1024
+# A shuffle has tasks x tasks blocks; beyond this many they get tiny and the
+# driver's books of them large, so tasks grow instead.
+MOST_TASKS = 40_000
 
 
-def session_options(shuffle_bytes: int | None = None) -> dict[str, str]:
+def session_options(load_bytes: int | None = None) -> dict[str, str]:
     """Settings for ``SparkSession.builder.config(map=...)``.
 
-    ``shuffle_bytes`` is the expected size of the largest shuffle. It sets how
-    many partitions a shuffle starts with, which adaptive execution merges
-    where they turn out small; it never splits an aggregation that started
-    with too few.
+    ``load_bytes`` is the expected size of the largest load. It sets how much a
+    scan task reads and how many partitions a shuffle starts with. Adaptive
+    execution merges those that turn out small, but splits none outside of
+    skewed joins and rebalanced writes, so too few would spill.
     """
     options = {
         "spark.sql.adaptive.enabled": "true",
@@ -20,8 +23,12 @@ def session_options(shuffle_bytes: int | None = None) -> dict[str, str]:
         "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
         "spark.kryoserializer.buffer.max": "512m",
     }
-    if shuffle_bytes is not None:
-        partitions = max(200, ceil(shuffle_bytes / PARTITION_BYTES))
-        options["spark.sql.shuffle.partitions"] = str(partitions)
-        options["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(PARTITION_BYTES)
+    if load_bytes is not None:
+        per_task = max(TASK_BYTES, ceil(load_bytes / MOST_TASKS))
+        options |= {
+            "spark.sql.files.maxPartitionBytes": str(per_task),
+            "spark.sql.shuffle.partitions": str(max(200, ceil(load_bytes / per_task))),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        }
     return options

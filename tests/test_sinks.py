@@ -78,7 +78,10 @@ def test_delta_call_with_another_format(spark, lake):
     assert read_parquet(spark, lake, "t").count() == 5
 
 
-def test_shuffle_partitions_follow_the_data():
+def test_tasks_follow_the_data_up_to_a_limit():
     assert "spark.sql.shuffle.partitions" not in session_options()
-    assert session_options(1)["spark.sql.shuffle.partitions"] == "200"
-    assert int(session_options(100 * 10**12)["spark.sql.shuffle.partitions"]) > 300_000
+    small, large, huge = (session_options(n) for n in (1, 10**12, 100 * 10**12))
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert large["spark.sql.shuffle.partitions"] == str(-(-(10**12) // 2**28))
+    assert huge["spark.sql.shuffle.partitions"] == "40000"
+    assert int(huge["spark.sql.files.maxPartitionBytes"]) * 40000 >= 100 * 10**12
