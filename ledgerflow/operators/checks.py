@@ -17,14 +17,20 @@ NOT_LATEST = "not_latest"
 
 def validate_schema(df: DataFrame, required: StructType) -> bool:
     """Every required field is there with its type; extra columns are fine."""
+    return not unmatched_fields(df, required)
+
+
+def unmatched_fields(df: DataFrame, required: StructType) -> list[str]:
+    """Names that are missing or of another type."""
     present = {field.name: field.dataType for field in df.schema}
-    return all(present.get(field.name) == field.dataType for field in required)
+    return [field.name for field in required if present.get(field.name) != field.dataType]
 
 
 def require_schema(df: DataFrame, required: StructType, entity: str) -> DataFrame:
     """The declared columns of ``df`` in declared order, or ``ValueError``."""
-    if not validate_schema(df, required):
-        raise ValueError(f"input columns do not match the {entity} schema")
+    unmatched = unmatched_fields(df, required)
+    if unmatched:
+        raise ValueError(f"{entity} columns missing or of another type: {', '.join(unmatched)}")
     return df.select(*required.fieldNames())
 
 

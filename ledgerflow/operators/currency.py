@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerflow.functions.account import HOME_CURRENCY
 from ledgerflow.operators.checks import require_schema
+from ledgerflow.operators.size import BROADCAST_BYTES, broadcast_bytes
 from ledgerflow.schemas import EXCHANGE_RATE
 
-BROADCAST_BYTES = 8 * 1024 * 1024
 MOST_HOT = 1000
-ROW_BYTES = 64  # the decimal, the text headers and the hash entry of one quote
 
 
 def usd_quotes(rates: DataFrame) -> DataFrame:
@@ -29,13 +28,6 @@ def usd_quotes(rates: DataFrame) -> DataFrame:
     )
 
 
-def broadcast_bytes(quotes: DataFrame) -> int:
-    """Upper estimate of the quotes' size in memory, as one aggregated number."""
-    text = F.octet_length("from_currency") + F.octet_length("to_currency")
-    total = F.sum(F.coalesce(text, F.lit(0)) + F.lit(ROW_BYTES))
-    return quotes.agg(F.coalesce(total, F.lit(0)).alias("total")).first()["total"]
-
-
 def hot_currencies(accounts: DataFrame, parts: int) -> list[tuple[str, int]]:
     """Currencies with more than one in ``MOST_HOT`` accounts, hence fewer than that.
 

@@ -17,6 +17,7 @@ from ledgerflow.functions.dates import as_date, as_timestamp
 from ledgerflow.operators.checks import (
     apply_standard_checks, conform, latest_per_key, require_schema,
 )
+from ledgerflow.operators.merge import merge_latest
 from ledgerflow.operators.quality import quality_report
 from ledgerflow.plans.account import transform_account_data
 from ledgerflow.plans.customer import transform_customer_data, with_vip
@@ -66,7 +67,8 @@ class Load:
 def customer_load(source: Callable[[], DataFrame], as_of=None, path="banking/customers") -> Load:
     """``as_of`` defaults to the day of the run, as for accounts."""
     def transform(raw, stamp):
-        return with_vip(transform_customer_data(raw, as_of or day_of(stamp), stamp))
+        today = day_of(stamp) if as_of is None else as_of
+        return with_vip(transform_customer_data(raw, today, stamp))
 
     return Load("customers", path, CUSTOMER, CUSTOMER_KEYS, CUSTOMER_REQUIRED, source, transform)
 
@@ -78,7 +80,8 @@ def account_load(
     path="banking/accounts",
 ) -> Load:
     def transform(raw, stamp):
-        return transform_account_data(raw, exchange_rates(), as_of or day_of(stamp), stamp)
+        today = day_of(stamp) if as_of is None else as_of
+        return transform_account_data(raw, exchange_rates(), today, stamp)
 
     return Load("accounts", path, ACCOUNT, ACCOUNT_KEYS, ACCOUNT_REQUIRED, source, transform)
 
@@ -110,15 +113,16 @@ def read_day(spark: SparkSession, target: str, day: str, schema: StructType) ->
     return read_if_present(spark, f"{target}/{DAY}={day}", schema, basePath=target)
 
 
-def staging_path(spark: SparkSession, base_uri: str, target: str) -> str:
-    """One reused folder per table on shared storage, so leftovers stay bounded."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or lake_path(base_uri, "banking/staging")
-    return f"{shared.rstrip('/')}/staged-{uuid5(NAMESPACE_URL, target).hex}"
-
+def stage(
+    spark: SparkSession, rows: DataFrame, base_uri: str, target: str, step: str
+) -> DataFrame:
+    """Rows written to and read back from shared storage.
 
-def stage(spark: SparkSession, rows: DataFrame, base_uri: str, target: str) -> DataFrame:
-    """Rows cut off from the table they will replace, on shared storage."""
-    path = staging_path(spark, base_uri, target)
+    Each step of a table has one folder that is used again, so leftovers stay
+    bounded.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or lake_path(base_uri, "banking/staging")
+    path = f"{shared.rstrip('/')}/{step}-{uuid5(NAMESPACE_URL, target).hex}"
     rows.write.mode("overwrite").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
@@ -159,9 +163,10 @@ def run_load(
     per run, so a run crossing midnight stays within one day's partition.
 
     The first batch of a day is written once and checked as read back. A later
-    one is merged with the day, latest row per key; it has to be staged, since
-    a table cannot be read and overwritten in one job, and is checked before it
-    replaces the day. ``check_first`` stages and checks the first batch too.
+    one is merged with the day, latest row per key; the result has to be
+    staged, since a table cannot be read and overwritten in one job, and is
+    checked before it replaces the day. ``check_first`` stages and checks the
+    first batch too.
     """
     stamp = ingested_at or spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0]
     day = day_of(stamp)
@@ -180,9 +185,10 @@ def run_load(
         # An empty batch leaves no partition behind.
         report = check(batch.limit(0) if written is None else written, load, stamp)
     else:
+        staged = stage(spark, batch, base_uri, target, "batch")
         if earlier is not None:
-            batch = latest_per_key(earlier.unionByName(batch), load.keys, [load.updated, STAMP])
-        staged = stage(spark, batch, base_uri, target)
+            merged = merge_latest(earlier, staged, load.keys, [load.updated, STAMP])
+            staged = stage(spark, merged, base_uri, target, "merged")
         report = check(staged, load, stamp)
         publish(staged, load, base_uri)
 

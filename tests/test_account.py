@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import plan_text
 from ledgerflow.functions.account import in_usd
-from ledgerflow.operators.currency import broadcast_bytes, hot_currencies, join_rates, missing_rates, usd_quotes
+from ledgerflow.operators.currency import hot_currencies, join_rates, missing_rates, usd_quotes
+from ledgerflow.operators.size import broadcast_bytes
 from ledgerflow.plans.account import transform_account_data
 from ledgerflow.schemas import ACCOUNT, ACCOUNT_OUTPUT, EXCHANGE_RATE
 

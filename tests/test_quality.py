@@ -9,6 +9,7 @@ from conftest import plan_text
 from ledgerflow.operators.checks import (
     apply_standard_checks, conform, latest_per_key, rejected_rows, validate_schema,
 )
+from ledgerflow.operators.merge import merge_latest
 from ledgerflow.operators.quality import (
     check_data_freshness, check_for_duplicates, check_for_nulls, quality_report,
 )
@@ -102,6 +103,32 @@ def test_nothing_rejected(spark):
     assert rejected_rows(frame(spark, ("a", "x", day(1))), ["id"], ["id"]).count() == 0
 
 
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_merge_keeps_the_latest_of_table_and_batch(spark, limit):
+    from random import Random
+
+    random = Random(5)
+
+    def some_rows(ids):
+        return [(i, random.choice([None, "x", "y"]), random.choice([None, day(1), day(2)])) for i in ids]
+
+    table = some_rows([*map(str, range(60)), None])
+    batch = some_rows([*map(str, range(40, 80)), None]) + some_rows(map(str, range(40, 50)))
+    merged = merge_latest(frame(spark, *table), frame(spark, *batch), ["id"], ["last_updated"], limit)
+    wanted, _ = brute_force(table + batch, lambda r: r[0], lambda r: True)
+    assert Counter(tuple(r) for r in merged.collect()) == wanted
+
+
+def test_merge_of_a_small_batch_leaves_the_table_unshuffled(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame(spark, *((str(i), "x", day(1)) for i in range(50))).write.parquet(path)
+    table = spark.read.parquet(path)
+    plan = plan_text(merge_latest(table, table.limit(3), ["id"], ["last_updated"]))
+    kept = plan[plan.index("LeftAnti"):plan.index("Window")]
+    assert "BroadcastHashJoin" in plan[:plan.index("LeftAnti")]
+    assert "hashpartitioning" not in kept.split("BroadcastExchange")[0]
+
+
 def test_duplicates_and_nulls(spark):
     df = frame(spark, ("a", "x", day(1)), ("a", "y", None), (None, None, day(1)), (None, "z", day(1)))
     assert check_for_duplicates(df, ["id"]) == 2
