@@ -1,0 +1,67 @@
+"""The plans that have to hold at scale."""
+
+import pytest
+
+import __spark_entry__ as driver
+from conftest import plan_text
+from ledgerflow.operators.quality import quality_report
+from ledgerflow.plans.account import transform_account_data
+from ledgerflow.plans.customer import transform_customer_data, with_vip
+from ledgerflow.queries.inputs import derived
+from test_account import accounts, rates
+from test_customer import BASE
+from ledgerflow.schemas import ACCOUNT_KEYS, ACCOUNT_REQUIRED, CUSTOMER
+
+SF_DIR = "/root/testdata/sf0.001"
+
+# These write tables when they are built; the others only describe a result.
+LAZY = sorted(
+    name for name in driver.queries()
+    if not name.startswith(("load_", "sink_", "run_", "watermark_", "customer_current"))
+)
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_no_python_and_no_pairing_in_any_plan(spark, name):
+    plan = plan_text(driver.queries()[name](spark, SF_DIR))
+    assert "EvalPython" not in plan and "InPandas" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    """A frame as it comes from a Parquet table."""
+    def store(frame, name="t"):
+        frame.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    return store
+
+
+def test_customers_are_shuffled_once(spark, stored):
+    raw = stored(spark.createDataFrame([tuple(BASE.values())], CUSTOMER))
+    plan = plan_text(with_vip(transform_customer_data(raw)))
+    assert plan.count("Exchange") == plan.count("Exchange hashpartitioning(customer_id") == 1
+    assert "PushedFilters: [IsNotNull(customer_id)]" in plan
+
+
+def test_accounts_are_shuffled_once_and_meet_broadcast_rates(spark, stored):
+    raw, quotes = stored(accounts(spark, {})), stored(rates(spark), "rates")
+    plan = plan_text(transform_account_data(raw, quotes))
+    assert plan.count("hashpartitioning(account_id") == 1
+    assert "BroadcastHashJoin [currency_code" in plan
+    assert plan.count("Exchange hashpartitioning") == 2  # the other one groups the rates
+    assert "EqualTo(to_currency,USD)" in plan
+
+
+def test_report_reads_only_its_columns(spark, stored):
+    profile = stored(transform_account_data(accounts(spark, {}), rates(spark)))
+    plan = plan_text(quality_report(profile, ACCOUNT_KEYS, ACCOUNT_REQUIRED))
+    read = plan[plan.index("ReadSchema"):]
+    assert "usd_current_balance" not in read and "account_manager" not in read
+
+
+def test_single_rules_read_only_their_columns(spark):
+    customers = derived(spark, SF_DIR, "customers_raw").select("customer_id", "segment")
+    plan = plan_text(customers)
+    assert "c_acctbal" not in plan and "c_mktsegment" in plan
