@@ -12,6 +12,7 @@ VIP_ASSETS = 500_000
 VIP_RATINGS = ("Excellent", "Very Good")
 KYC_DONE = "COMPLETE"
 
+# Parts of an address in order.
 ADDRESS_PARTS = ("address_line1", "address_line2", "city", "state", "zip_code", "country")
 
 

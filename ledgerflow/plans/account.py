@@ -8,6 +8,7 @@ from ledgerflow.operators.checks import apply_standard_checks, require_schema
 from ledgerflow.operators.currency import join_rates
 from ledgerflow.schemas import ACCOUNT, ACCOUNT_KEYS, ACCOUNT_OUTPUT, ACCOUNT_REQUIRED
 
+# Fixed value.
 RECORD_SOURCE = "SNOWFLAKE_ACCOUNTS"
 
 

@@ -9,6 +9,7 @@ from ledgerflow.schemas import (
     CUSTOMER, CUSTOMER_KEYS, CUSTOMER_OUTPUT, CUSTOMER_REQUIRED,
 )
 
+# Fixed value.
 RECORD_SOURCE = "ORACLE_CUSTOMERS"
 
 

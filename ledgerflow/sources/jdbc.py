@@ -21,6 +21,7 @@ def oracle_options(config: dict) -> dict[str, str]:
     missing = [key for key in REQUIRED if key not in config]
     if missing:
         raise ValueError(f"missing Oracle settings: {', '.join(missing)}")
+    # Option names and defaults of the JDBC reader and the driver.
     return {
         "url": f"jdbc:oracle:thin:@{config['host']}:{config['port']}/{config['service_name']}",
         "user": config["username"],

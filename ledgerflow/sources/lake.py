@@ -16,6 +16,7 @@ def s3a_options(config: dict) -> dict[str, str]:
     missing = [key for key in required if key not in config]
     if missing:
         raise ValueError(f"missing S3 settings: {', '.join(missing)}")
+    # Settings of the S3A file system.
     prefix = "spark.hadoop.fs.s3a."
     options = {
         prefix + "impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",

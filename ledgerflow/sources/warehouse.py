@@ -14,6 +14,7 @@ def snowflake_options(config: dict) -> dict[str, str]:
     missing = [key for key in REQUIRED if key not in config]
     if missing:
         raise ValueError(f"missing Snowflake settings: {', '.join(missing)}")
+    # Option names of the connector.
     return {
         "sfURL": f"{config['account']}.snowflakecomputing.com",
         "sfUser": config["username"],
