@@ -6,11 +6,13 @@ is rejected, and of the rows sharing a key only the latest is kept.
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
+from ledgerflow.operators.size import BROADCAST_BYTES, broadcast_bytes
+
 MISSING = "missing_required"
 NOT_LATEST = "not_latest"
 
@@ -72,11 +74,21 @@ def apply_standard_checks(
     return latest_per_key(complete, id_columns, [updated])
 
 
+def same_key(keys: Sequence[str]) -> Column:
+    """Null-safe match of ``keys`` with columns made by ``prefixed``."""
+    return reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+
+
+def prefixed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.select(*(F.col(k).alias(f"_{k}") for k in keys))
+
+
 def rejected_rows(
     df: DataFrame,
     id_columns: Sequence[str],
     not_null_columns: Sequence[str],
     updated: str = "last_updated",
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """What ``apply_standard_checks`` leaves out, with a ``reason``.
 
@@ -84,13 +96,25 @@ def rejected_rows(
     minus the kept rows, counted per whole row: the shuffle spreads over row
     contents and is combined map-side, so neither a hot key nor a row repeated
     a thousand million times gathers in one task.
+
+    The keys with several rows are counted first. Where they measure within
+    ``limit`` bytes they are broadcast, and all other rows stay out of the
+    shuffles. ``df`` is read several times, so it should be a written table.
     """
-    kept = apply_standard_checks(df, id_columns, not_null_columns, updated)
-    reason = F.when(has_null(not_null_columns), MISSING).otherwise(NOT_LATEST)
-    every = df.withColumn("reason", reason).withColumn("copies", F.lit(1))
-    less = kept.withColumn("reason", F.lit(NOT_LATEST)).withColumn("copies", F.lit(-1))
+    incomplete = has_null(not_null_columns)
+    missing, rivals = df.filter(incomplete), df.filter(~incomplete)
+    repeated = prefixed(rivals.groupBy(*id_columns).count().filter("count > 1"), id_columns)
+    if broadcast_bytes(repeated) <= limit:
+        rivals = rivals.join(F.broadcast(repeated), same_key(id_columns), "left_semi")
+    kept = latest_per_key(rivals, id_columns, [updated])
+
+    def counted(rows, reason, copies):
+        return rows.withColumns({"reason": F.lit(reason), "copies": F.lit(copies)})
+
     return (
-        every.unionByName(less)
+        counted(missing, MISSING, 1)
+        .unionByName(counted(rivals, NOT_LATEST, 1))
+        .unionByName(counted(kept, NOT_LATEST, -1))
         .groupBy(*df.columns, "reason")
         .agg(F.sum("copies").alias("copies"))
         .filter("copies > 0")

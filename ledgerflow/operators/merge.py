@@ -1,12 +1,10 @@
 """A small batch merged into a large table."""
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerflow.operators.checks import latest_per_key
+from ledgerflow.operators.checks import latest_per_key, prefixed, same_key
 from ledgerflow.operators.size import BROADCAST_BYTES, broadcast_bytes
 
 
@@ -24,10 +22,9 @@ def merge_latest(
     the batch's keys are ranked. A larger batch is ranked with the whole table.
     ``batch`` is read several times, so it should be a written table.
     """
-    changed = batch.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
+    changed = prefixed(batch, keys).distinct()
     if broadcast_bytes(changed) > limit:
         return latest_per_key(table.unionByName(batch), keys, newest_first)
-    same_key = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
-    kept = table.join(F.broadcast(changed), same_key, "left_anti")
-    rivals = table.join(F.broadcast(changed), same_key, "left_semi").unionByName(batch)
-    return kept.unionByName(latest_per_key(rivals, keys, newest_first))
+    kept = table.join(F.broadcast(changed), same_key(keys), "left_anti")
+    rivals = table.join(F.broadcast(changed), same_key(keys), "left_semi")
+    return kept.unionByName(latest_per_key(rivals.unionByName(batch), keys, newest_first))

@@ -73,7 +73,9 @@ def brute_force(rows, id_of, complete):
     return Counter(kept), Counter(rows) - Counter(kept)
 
 
-def test_kept_and_rejected_rows_make_up_the_input(spark):
+@pytest.mark.parametrize("limit", [10**6, 0])
+@pytest.mark.parametrize("required", [["id"], []])
+def test_kept_and_rejected_rows_make_up_the_input(spark, limit, required):
     from random import Random
 
     random = Random(3)
@@ -87,12 +89,12 @@ def test_kept_and_rejected_rows_make_up_the_input(spark):
     ]
     rows += [("hot", "copy", day(4))] * 50
     df = frame(spark, *rows).repartition(5)
-    kept = Counter(tuple(r) for r in apply_standard_checks(df, ["id"], ["id"]).collect())
+    kept = Counter(tuple(r) for r in apply_standard_checks(df, ["id"], required).collect())
     rejected = Counter()
-    for r in rejected_rows(df, ["id"], ["id"]).collect():
+    for r in rejected_rows(df, ["id"], required, limit=limit).collect():
         rejected[tuple(r)[:3]] += r.copies
-        assert r.reason == ("missing_required" if r.id is None else "not_latest")
-    wanted_kept, wanted_rejected = brute_force(rows, lambda r: r[0], lambda r: r[0] is not None)
+        assert r.reason == ("missing_required" if required and r.id is None else "not_latest")
+    wanted_kept, wanted_rejected = brute_force(rows, lambda r: r[0], lambda r: not required or r[0] is not None)
     assert kept == wanted_kept
     assert rejected == wanted_rejected
     assert kept + rejected == Counter(rows)
