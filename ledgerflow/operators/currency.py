@@ -29,16 +29,24 @@ def usd_quotes(rates: DataFrame) -> DataFrame:
 
 
 def hot_currencies(accounts: DataFrame, parts: int) -> list[tuple[str, int]]:
-    """Currencies with more than one in ``MOST_HOT`` accounts, hence fewer than that.
+    """Currencies with more than one in ``MOST_HOT`` accounts.
 
+    There are fewer than ``MOST_HOT`` of them, so they are all among the
+    ``MOST_HOT`` most frequent values; the row before those counts all accounts.
     Each comes with the number of parts its accounts should be spread over.
     """
-    total = accounts.count()
-    counts = accounts.groupBy("currency_code").count()
-    hot = counts.filter(
-        F.col("currency_code").isNotNull() & (F.col("count") * MOST_HOT > total)
+    counts = accounts.rollup("currency_code").agg(
+        F.grouping("currency_code").alias("is_total"), F.count("*").alias("n")
     )
-    return [(row[0], ceil(row[1] * parts / total)) for row in hot.collect()]
+    most = counts.orderBy(F.desc("n"), F.desc("is_total")).limit(MOST_HOT + 1).collect()
+    if not most:
+        return []
+    total = most[0]["n"]
+    return [
+        (row["currency_code"], ceil(row["n"] * parts / total))
+        for row in most[1:]
+        if row["currency_code"] is not None and row["n"] * MOST_HOT > total
+    ]
 
 
 def spread_join(accounts: DataFrame, quotes: DataFrame, how: str) -> DataFrame:

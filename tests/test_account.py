@@ -165,6 +165,10 @@ def test_salted_join_keeps_cold_and_null_currencies(spark):
     )
     quotes = rates(spark, [*RATES, ("Q1", "USD", Decimal(2)), ("Q4", "USD", Decimal(3))])
     assert [c for c, _ in hot_currencies(frame, 8)] == ["EUR"]
+    assert hot_currencies(frame.filter("currency_code = 'EUR'"), 8) == [("EUR", 8)]
+    assert hot_currencies(frame.filter("currency_code IS NULL"), 8) == []
+    assert hot_currencies(frame.filter("false"), 8) == []
+    assert join_rates(frame.filter("false"), quotes, limit=0).count() == 0
     large, small = (join_rates(frame, quotes, limit=limit) for limit in (0, 10**6))
     assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
     assert large.count() == 4000
