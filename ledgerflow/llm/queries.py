@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.llm.exact_dedup import exact_duplicates
+from ledgerflow.llm.minhash import near_duplicates
 
 HOME = str(Path(__file__).resolve().parents[2])
 
@@ -35,6 +36,42 @@ select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_siz
 from texts window same as (partition by plain)
 """
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+OP8_SQL = r"""
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents
+),
+shingles as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as g
+  from words
+),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select x.doc_id as a, y.doc_id as b, count(*) as n
+  from shingles x join shingles y on x.g = y.g and x.doc_id <> y.doc_id group by x.doc_id, y.doc_id
+),
+links as (
+  select a, b from shared s join sizes p on a = p.doc_id join sizes q on b = q.doc_id
+  where 100 * s.n >= 85 * (p.n + q.n - s.n)
+),
+reached as (
+  select doc_id, doc_id as other from documents
+  union
+  select doc_id, b as other from reached join links on other = a
+)
+select d.doc_id, coalesce(n, 0) as n_shingles, low as component_id, d.doc_id = low as kept
+from documents d left join sizes using (doc_id)
+join (select doc_id, min(other) as low from reached group by doc_id) using (doc_id)
+"""
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op7_exact_dedup": (op7_exact_dedup, OP7_SQL),
+    "op8_minhash": (op8_minhash, OP8_SQL),
 }
