@@ -7,10 +7,12 @@ derives the columns of its contract. ``None`` stands where SQL can't express it.
 from collections.abc import Callable
 from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.llm.exact_dedup import exact_duplicates
 from ledgerflow.llm.minhash import near_duplicates
+from ledgerflow.llm.token_counts import token_counts
 
 HOME = str(Path(__file__).resolve().parents[2])
 
@@ -23,6 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -72,6 +78,7 @@ join (select doc_id, min(other) as low from reached group by doc_id) using (doc_
 """
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op5_token_counts": (op5_token_counts, None),
     "op7_exact_dedup": (op7_exact_dedup, OP7_SQL),
     "op8_minhash": (op8_minhash, OP8_SQL),
 }
