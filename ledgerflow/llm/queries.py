@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.llm.exact_dedup import exact_duplicates
 from ledgerflow.llm.minhash import near_duplicates
+from ledgerflow.llm.packing import checksums, pack
 from ledgerflow.llm.token_counts import token_counts
 
 HOME = str(Path(__file__).resolve().parents[2])
@@ -25,6 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checksums(pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -78,6 +83,7 @@ join (select doc_id, min(other) as low from reached group by doc_id) using (doc_
 """
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_packing": (op1_packing, None),
     "op5_token_counts": (op5_token_counts, None),
     "op7_exact_dedup": (op7_exact_dedup, OP7_SQL),
     "op8_minhash": (op8_minhash, OP8_SQL),
