@@ -16,6 +16,7 @@ end to end.
 import os
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerflow.llm.store import written
-from ledgerflow.llm.words import slices
+from ledgerflow.llm.words import flat, located_words, slices
 
 CAPACITY = 2048
 SLACK = 64  # tokens that a class may leave empty in a sequence
@@ -33,8 +34,43 @@ END_ID = 1
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"  # fixed value: marks a word's last token in the vocabulary
 PLAIN = re.compile("[\t\n\r -~¡-įı-ňŊ-ſ]*")  # lower case and composition are the same in all libraries
-MOST_KNOWN = 300_000  # words whose ids are remembered at a time
-FLUSH_TOKENS = 1 << 20
+MOST_KNOWN = 1_500_000  # words whose ids a worker remembers at a time, in about 50 MB
+MERGE_FROM = 100_000
+FLUSH_TOKENS = 1 << 19
+
+
+class _Memory:
+    """Ids of words by the words' 64-bit hashes, in a few arrays.
+
+    Hashes are kept sorted; new ones are kept apart until there are enough to merge.
+    """
+
+    def __init__(self):
+        self.old = self.new = (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
+        self.starts, self.ids = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 for unknown ones."""
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        for keys, numbers in (self.old, self.new):
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                out = np.where(keys[at] == hashes, numbers[at], out)
+        return out
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> None:
+        numbers = np.arange(len(self.starts) - 1, len(self.starts) - 1 + len(hashes))
+        self.new = self._merged(self.new, (hashes, numbers))
+        if len(self.new[0]) > MERGE_FROM:
+            self.old, self.new = self._merged(self.old, self.new), (self.new[0][:0], self.new[1][:0])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + bounds[1:]])
+        self.ids = np.concatenate([self.ids, ids])
+
+    @staticmethod
+    def _merged(a: tuple, b: tuple) -> tuple:
+        keys = np.concatenate([a[0], b[0]])
+        order = np.argsort(keys, kind="stable")
+        return keys[order], np.concatenate([a[1], b[1]])[order]
 
 
 class Encoder:
@@ -60,45 +96,55 @@ class Encoder:
             raise ValueError("a BPE tokenizer with marked word ends is expected")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.split = regex.compile(SPLIT).findall
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.starts, self.ids = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int32)
+        self.memory = _Memory()
 
     def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.int32)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int32)
 
-    def _learn(self, new: list[str]) -> None:
-        """Ids of new words: their pre-tokens in one text, told apart by word ends."""
-        parts = [self.split(word) for word in new]
-        counts = np.array([len(p) for p in parts])
-        own = list(dict.fromkeys(p for part in parts for p in part))
-        ids = self._whole(" ".join(own))
+    def _parts(self, pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens, encoded in one text and told apart by word ends, and where each starts."""
+        ids = self._whole(" ".join(pretokens))
         ends = np.flatnonzero(self.ends_word[ids]) + 1 if len(ids) else np.zeros(0, dtype=np.int64)
-        if len(ends) != len(own):
-            pieces = [self._whole(p) for p in own]
+        if len(ends) != len(pretokens):
+            pieces = [self._whole(p) for p in pretokens]
             ids, ends = np.concatenate(pieces), np.cumsum([len(p) for p in pieces])
-        number = {p: k for k, p in enumerate(own)}
-        order = np.array([number[p] for part in parts for p in part], dtype=np.int64)
-        bounds = np.concatenate([[0], ends])
-        laid = gathered(ids, bounds, order)
-        upto = np.concatenate([[0], np.cumsum(np.diff(bounds)[order])])[np.cumsum(counts)]
-        self.known.update(zip(new, range(len(self.starts) - 1, len(self.starts) - 1 + len(new)), strict=True))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + upto])
-        self.ids = np.concatenate([self.ids, laid])
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        words = [text.lower().split() if PLAIN.fullmatch(text) and not any(s in text for s in self.special) else None for text in texts]
-        if len(self.known) > MOST_KNOWN:
-            self._forget()
-        new = list(set().union(*(w for w in words if w)) - self.known.keys())
-        if new:
-            self._learn(new)
-        get, out = self.known.__getitem__, []
-        for text, own in zip(texts, words, strict=True):
-            out.append(self._whole(text) if own is None else gathered(self.ids, self.starts, np.fromiter(map(get, own), np.int64, len(own))))
-        return out
+        return ids, np.concatenate([[0], ends])
+
+    def _learn(self, hashes: np.ndarray, new: list[str]) -> None:
+        """Ids of new words from those of their distinct pre-tokens."""
+        parts = [self.split(word) for word in new]
+        own = list(set(chain.from_iterable(parts)))
+        ids, starts = self._parts(own)
+        number = dict(zip(own, range(len(own)), strict=True))
+        order = np.fromiter(map(number.__getitem__, chain.from_iterable(parts)), np.int64)
+        counts = np.fromiter(map(len, parts), np.int64, len(parts))
+        bounds = np.concatenate([[0], np.cumsum(starts[order + 1] - starts[order])])[np.concatenate([[0], np.cumsum(counts)])]
+        self.memory.add(hashes, gathered(ids, starts, order), bounds)
+
+    def _plain(self, column) -> list[np.ndarray]:
+        data, starts = flat(column)
+        hashes, first, end = located_words(data, starts)
+        distinct, example, back = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.memory.starts) > MOST_KNOWN:
+            self.memory = _Memory()
+        numbers = self.memory.find(distinct)
+        unknown = np.flatnonzero(numbers < 0)
+        if len(unknown):
+            raw, at = data.tobytes(), example[unknown]
+            new = [raw[lo:hi].decode().lower() for lo, hi in zip(first[at].tolist(), end[at].tolist(), strict=True)]
+            self._learn(distinct[unknown], new)
+            numbers[unknown] = np.arange(len(self.memory.starts) - 1 - len(unknown), len(self.memory.starts) - 1)
+        order = numbers[back]
+        ids = gathered(self.memory.ids, self.memory.starts, order)
+        upto = np.concatenate([[0], np.cumsum(self.memory.starts[order + 1] - self.memory.starts[order])])
+        return np.split(ids, upto[np.searchsorted(first, starts[1:-1])]) if len(starts) > 1 else []
+
+    def encode(self, column) -> list[np.ndarray]:
+        """The ids of each text of an Arrow column; none for null."""
+        texts = [t or "" for t in column.to_pylist()]
+        plain = np.array([PLAIN.fullmatch(t) is not None and not any(s in t for s in self.special) for t in texts], dtype=bool)
+        own = iter(self._plain(column.filter(pa.array(plain))))
+        return [next(own) if p else self._whole(t) for t, p in zip(texts, plain.tolist(), strict=True)]
 
 
 def gathered(values: np.ndarray, bounds: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -160,8 +206,7 @@ def _fill(shared, capacity: int, slack: int, end_id: int):
         for batch in batches:
             for some in slices(batch):
                 rows = rows or _Rows(some.column("doc_id").type)
-                texts = [t or "" for t in some.column("text").to_pylist()]
-                for doc_id, ids in zip(some.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
+                for doc_id, ids in zip(some.column("doc_id").to_pylist(), encoder.encode(some.column("text")), strict=True):
                     ids, at = np.append(ids, np.int32(end_id)), 0
                     total = len(ids)
                     pieces = [(capacity, 1)] * (total // capacity) + cuts[total % capacity]
@@ -235,7 +280,7 @@ def pack(
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     shape = f"doc_id {kind}, start long, length long, doc_tokens long, part int, class_size int, place long, offset long, complete boolean, ids array<int>"
-    pieces = written(texts.mapInArrow(_fill(shared, capacity, slack, end_id), shape), "pieces")
+    pieces = written(texts.mapInArrow(_fill(shared, capacity, slack, end_id), shape), "pieces", batch_rows=1000)
     complete = pieces.where("complete").withColumn("sequence_id", F.col("part").cast("long") * F.lit(1 << 38) + F.col("place"))
 
     # Left over: at most k - 1 pieces of class k from each worker.

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Rows of one long key that are broadcast at most: 16 MB of keys, under 100 MB
 # as a hash table. Beyond that the join is shuffled.
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 MOST_BROADCAST_KEYS = 1_000_000
 
 
@@ -25,10 +26,19 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` evaluated once, as a Parquet table read back."""
-    path = folder(df.sparkSession, name)
-    df.write.parquet(path)
+def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """``df`` evaluated once, as a Parquet table read back.
+
+    ``batch_rows`` bounds the rows of an Arrow batch meanwhile, where Python tasks
+    need much memory a row.
+    """
+    path, conf = folder(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(ARROW_ROWS)
+    conf.set(ARROW_ROWS, str(batch_rows or before))
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(ARROW_ROWS, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -21,6 +21,10 @@ IS_SPACE[list(SPACES)] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
+# Everything of ASCII but letters and digits, for words without punctuation.
+IS_MARK = np.arange(256) < 0x80
+IS_MARK[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = False
+
 _powers = {}
 
 
@@ -67,9 +71,9 @@ def slices(batch: pa.RecordBatch, text: str = "text", most: int = CHUNK):
         lo = hi
 
 
-def word_bounds(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, starts: np.ndarray, separators: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """First byte and end of every word; no word reaches over a row's end."""
-    space = IS_SPACE[data]
+    space = separators[data]
     edges = starts[(starts > 0) & (starts < len(data))]
     before = np.empty_like(space)
     before[:1] = True
@@ -89,13 +93,23 @@ def _hash(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for every word, and the n + 1 places where the rows' words start."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, lower: bool = True, separators: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for every word, and the n + 1 places where the rows' words start.
+
+    ``separators`` says which bytes are in no word: white space, if nothing else.
+    """
+    out, first, _ = located_words(data, starts, lower, separators)
+    return out, np.searchsorted(first, starts).astype(np.int64)
+
+
+def located_words(data: np.ndarray, starts: np.ndarray, lower: bool = True, separators: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A hash for every word, its first byte and its end."""
     if not len(data):
-        return np.zeros(0, dtype=np.uint64), np.zeros(len(starts), dtype=np.int64)
+        none = np.zeros(0, dtype=np.int64)
+        return none.astype(np.uint64), none, none
     if lower:
         data = LOWER[data]
-    first, end = word_bounds(data, starts)
+    first, end = word_bounds(data, starts, separators)
     out = np.empty(len(first), dtype=np.uint64)
     at = 0
     while at < len(first):
@@ -103,7 +117,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, lower: bool = True) -> tup
         upto = max(at + 1, int(np.searchsorted(end, low + WINDOW, side="right")))
         out[at:upto] = _hash(data[low:end[upto - 1]], first[at:upto] - low, end[at:upto] - low)
         at = upto
-    return out, np.searchsorted(first, starts).astype(np.int64)
+    return out, first, end
 
 
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
