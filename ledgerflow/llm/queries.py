@@ -8,11 +8,13 @@ from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerflow.llm.exact_dedup import exact_duplicates
 from ledgerflow.llm.minhash import near_duplicates
+from ledgerflow.llm.mixing import fitting_sql, mixed
 from ledgerflow.llm.packing import checksums, pack
+from ledgerflow.llm.quality import fit_ratings, grades_of, rate
 from ledgerflow.llm.token_counts import token_counts
 
 HOME = str(Path(__file__).resolve().parents[2])
@@ -30,6 +32,19 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checksums(pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+# Shares of the training mix: the largest source is held back, smaller languages and long texts gain.
+TARGETS = {
+    "source": {"src0": 0.30} | {f"src{k}": 0.70 / 19 for k in range(1, 20)},
+    "lang": {"en": 0.56, "de": 0.17, "fr": 0.16, "es": 0.11},
+    "topic": {"brief": 0.03, "article": 0.47, "long": 0.50},
+}
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixed(table(spark, sf_dir, "documents"), TARGETS).select("doc_id", "_mix.*")
+    return found.withColumn("probability", F.round("probability", 9))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -38,6 +53,15 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def quality_model(docs: DataFrame, spark: SparkSession, sf_dir: str):
+    return fit_ratings(docs, grades_of(table(spark, sf_dir, "labels")))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return rate(docs, quality_model(docs, spark, sf_dir))
+
+
 OP7_SQL = r"""
 with texts as (
   select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as plain from documents
@@ -84,7 +108,9 @@ join (select doc_id, min(other) as low from reached group by doc_id) using (doc_
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_packing": (op1_packing, None),
+    "op3_mixing": (op3_mixing, fitting_sql(TARGETS)),
     "op5_token_counts": (op5_token_counts, None),
     "op7_exact_dedup": (op7_exact_dedup, OP7_SQL),
     "op8_minhash": (op8_minhash, OP8_SQL),
+    "op10_quality": (op10_quality, None),
 }
