@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerflow.llm.exact_dedup import exact_duplicates
+from ledgerflow.llm.langid import fit_languages, held_out, identify
 from ledgerflow.llm.minhash import near_duplicates
 from ledgerflow.llm.mixing import fitting_sql, mixed
 from ledgerflow.llm.packing import checksums, pack
@@ -45,6 +46,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("probability", F.round("probability", 9))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, fit_languages(docs.where(~held_out())))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -109,6 +116,7 @@ join (select doc_id, min(other) as low from reached group by doc_id) using (doc_
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_packing": (op1_packing, None),
     "op3_mixing": (op3_mixing, fitting_sql(TARGETS)),
+    "op4_language_id": (op4_language_id, None),
     "op5_token_counts": (op5_token_counts, None),
     "op7_exact_dedup": (op7_exact_dedup, OP7_SQL),
     "op8_minhash": (op8_minhash, OP8_SQL),
