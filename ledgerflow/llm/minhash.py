@@ -8,9 +8,11 @@ both full sets.
 
 Only components are asked for, so a bucket's pairs are not all tried. Documents
 with equal sets are collapsed first. Then each bucket's members are compared with
-one leader. Only a bucket whose members are still in several components has its
-pairs between different components tried, all of them: a pair inside of one
-component can't change the result. No link of any bucket is lost.
+one leader. Only a bucket whose members are still in several components goes on,
+with all its pairs: of a small bucket those between different components, of a large
+one blocks against blocks inside of a task, which returns a spanning set of the links
+it finds. A pair inside of one component can't change the result, so no link of any
+bucket is lost, and a group of m documents never makes m * m rows.
 """
 
 from hashlib import blake2b
@@ -25,7 +27,9 @@ from ledgerflow.llm.store import checked_broadcast, written
 from ledgerflow.llm.words import flat, mix, shingle_hashes, slices, word_hashes
 
 BANDS, ROWS = 24, 6  # at a similarity of 0.8 a pair shares a band with probability 0.999, at 0.85 with 0.99998
-STAR_ROUNDS = 2
+SMALL = 64  # members up to which a bucket's pairs are rows
+BLOCK_ROWS, BLOCK_SHINGLES = 1000, 400_000  # about as much of a large bucket is compared with as much at a time
+TILE = 4096  # shingles counted at a time
 
 
 def permutation(x: np.ndarray, seed: int) -> np.ndarray:
@@ -149,29 +153,88 @@ def near_duplicates(
         small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
         return pairs.where(small * 100 >= large * percent).select("a", "b").distinct()
 
-    links = entries.limit(0).select(F.col("row").alias("a"), F.col("row").alias("b"))
-    groups = entries.select("row").distinct().withColumn("component", F.col("row"))
-    for turn in range(STAR_ROUNDS + 1):
-        member = entries.join(groups, "row").select("bucket", F.col("row").alias("b"), F.col("n_shingles").alias("size_b"), F.col("component").alias("of_b"))
-        rank = F.xxhash64(F.lit(turn), "b") if turn else F.col("b")
-        lead = member.groupBy("bucket").agg(
-            F.min(F.struct(rank.alias("rank"), "b", "size_b", "of_b")).alias("lead"), F.min("of_b").alias("low"), F.max("of_b").alias("high"),
-        ).where("low <> high")
-        lead = written(lead.select("bucket", F.col("lead.b").alias("a"), F.col("lead.size_b").alias("size_a"), F.col("lead.of_b").alias("of_a")), "leaders")
-        if lead.isEmpty():
-            break
-        if turn < STAR_ROUNDS:
-            pairs = member.join(lead, "bucket").where("of_a <> of_b")
-        else:
-            other = member.select("bucket", F.col("b").alias("a"), F.col("size_b").alias("size_a"), F.col("of_b").alias("of_a"))
-            pairs = member.join(lead.select("bucket"), "bucket", "left_semi").join(other, "bucket").where("of_a <> of_b and a < b")
-        links = written(links.union(confirmed(close(pairs), sets, percent)), "links")
-        groups = written(
-            entries.select("row").distinct().join(components(links).withColumnRenamed("node", "row"), "row", "left")
-            .select("row", F.coalesce("component", "row").alias("component")),
-            "groups",
-        )
-    return _labelled(known, heads, groups)
+    nodes = entries.select("row").distinct()
+
+    def grouped(links: DataFrame) -> DataFrame:
+        found = nodes.join(components(links).withColumnRenamed("node", "row"), "row", "left")
+        return written(found.select("row", F.coalesce("component", "row").alias("component")), "groups")
+
+    lead = entries.groupBy("bucket").agg(F.min(F.struct("row", "n_shingles")).alias("lead"))
+    lead = lead.select("bucket", F.col("lead.row").alias("a"), F.col("lead.n_shingles").alias("size_a"))
+    member = entries.select("bucket", F.col("row").alias("b"), F.col("n_shingles").alias("size_b"))
+    links = written(confirmed(close(member.join(lead, "bucket").where("a <> b")), sets, percent), "links")
+
+    member = member.join(grouped(links).select(F.col("row").alias("b"), F.col("component").alias("of_b")), "b")
+    still = member.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("members"), F.sum("size_b").alias("shingles"), F.min("of_b").alias("low"), F.max("of_b").alias("high"),
+    ).where("low <> high and members > 2")  # a bucket of two has been compared with its leader
+    member = written(member.join(still.drop("low", "high"), "bucket"), "unresolved")
+    small = member.where(F.col("members") <= SMALL)
+    other = small.select("bucket", F.col("b").alias("a"), F.col("size_b").alias("size_a"), F.col("of_b").alias("of_a"))
+    found = confirmed(close(small.join(other, "bucket").where("of_a <> of_b and a < b")), sets, percent)
+    links = links.union(found).union(_in_blocks(member.where(F.col("members") > SMALL), sets, percent))
+    return _labelled(known, heads, grouped(written(links, "links")))
+
+
+def _in_blocks(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` that span those of each large bucket, found block against block."""
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK_ROWS, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    placed = member.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("b"), "blocks").cast("int"))
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pairs = placed.select("bucket", F.col("b").alias("row"), "block", each)
+    pairs = pairs.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "row")
+    return pairs.join(sets, "row").groupBy("bucket", "i", "j").applyInArrow(_compare(percent), "a long, b long")
+
+
+def spanning(linked: np.ndarray) -> np.ndarray:
+    """For each node of a symmetric boolean matrix the smallest one it is connected with."""
+    labels = np.arange(len(linked))
+    while True:
+        new = np.minimum(labels, np.where(linked, labels[None, :], len(labels)).min(axis=1, initial=len(labels)))
+        new = new[new]
+        if (new == labels).all():
+            return labels
+        labels = new
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets on the left with all on the right."""
+    values, codes = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in [*left, *right]])
+    twice = np.bincount(codes) > 1  # others are in no intersection
+    column = np.cumsum(twice) - 1
+    keep = twice[codes]
+    owner, codes = owner[keep], column[codes[keep]]
+    order = np.argsort(codes, kind="stable")
+    owner, codes, out = owner[order], codes[order], np.zeros((len(left), len(right)), dtype=np.float32)
+    for low in range(0, int(twice.sum()), TILE):
+        lo, hi = np.searchsorted(codes, [low, low + TILE])
+        tile = np.zeros((len(left) + len(right), TILE), dtype=np.float32)
+        tile[owner[lo:hi], codes[lo:hi] - low] = 1
+        out += tile[:len(left)] @ tile[len(left):].T
+    return out
+
+
+def _compare(percent: int):
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        i, j = key[1].as_py(), key[2].as_py()
+        table = table.combine_chunks().sort_by("row")
+        rows, block = table["row"].to_numpy(), table["block"].to_numpy()
+        column = table["shingles"].combine_chunks()
+        ends = column.offsets.to_numpy()
+        sets = [column.values.to_numpy()[lo:hi] for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        if not len(left) or not len(right):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        size = np.array([len(s) for s in sets])
+        shared = overlaps([sets[k] for k in left], [sets[k] for k in right]).astype(np.int64)
+        near = 100 * shared >= percent * (size[left][:, None] + size[right][None, :] - shared)
+        linked = np.zeros((len(rows), len(rows)), dtype=bool)
+        linked[np.ix_(left, right)] = near
+        labels = spanning(linked | linked.T)
+        moved = labels != np.arange(len(rows))
+        return pa.table({"a": rows[labels[moved]], "b": rows[moved]})
+    return run
 
 
 def _labelled(known: DataFrame, heads: DataFrame, groups: DataFrame) -> DataFrame:
