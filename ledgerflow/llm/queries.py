@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerflow.llm.exact_dedup import exact_duplicates
 from ledgerflow.llm.langid import fit_languages, held_out, identify
+from ledgerflow.llm.lm import score
 from ledgerflow.llm.minhash import near_duplicates
 from ledgerflow.llm.mixing import fitting_sql, mixed
 from ledgerflow.llm.packing import checksums, pack
@@ -60,6 +61,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7
+    found = score(table(spark, sf_dir, "documents"), remainder == 2)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def quality_model(docs: DataFrame, spark: SparkSession, sf_dir: str):
     return fit_ratings(docs, grades_of(table(spark, sf_dir, "labels")))
 
@@ -120,5 +127,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_token_counts": (op5_token_counts, None),
     "op7_exact_dedup": (op7_exact_dedup, OP7_SQL),
     "op8_minhash": (op8_minhash, OP8_SQL),
+    "op9_lm_scoring": (op9_lm_scoring, None),
     "op10_quality": (op10_quality, None),
 }
