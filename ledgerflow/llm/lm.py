@@ -29,7 +29,7 @@ PAIR_FROM = 2  # least count of a pair in the filter
 PROBES, BITS_AN_ENTRY = 6, 12
 MOST_FILTER_BYTES = 256 << 20
 MOST_FREQUENT = 1 << 20  # words whose exact counts are broadcast
-DISCOUNT = 0.7
+DISCOUNT = 0.5
 TOKENS_A_RANGE = 1 << 20
 TOKENS_HELD = 1 << 21  # tokens that a task counts before it sends
 

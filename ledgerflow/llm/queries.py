@@ -18,6 +18,7 @@ from ledgerflow.llm.mixing import fitting_sql, mixed
 from ledgerflow.llm.packing import checksums, pack
 from ledgerflow.llm.quality import fit_ratings, grades_of, rate
 from ledgerflow.llm.token_counts import token_counts
+from ledgerflow.llm.warc import convert, read_warc, write_arc
 
 HOME = str(Path(__file__).resolve().parents[2])
 
@@ -57,6 +58,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warc = convert(spark, write_arc(table(spark, sf_dir, "pages")))
+    return read_warc(spark, warc).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -125,6 +131,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op3_mixing": (op3_mixing, fitting_sql(TARGETS)),
     "op4_language_id": (op4_language_id, None),
     "op5_token_counts": (op5_token_counts, None),
+    "op6_warc": (op6_warc, None),
     "op7_exact_dedup": (op7_exact_dedup, OP7_SQL),
     "op8_minhash": (op8_minhash, OP8_SQL),
     "op9_lm_scoring": (op9_lm_scoring, None),
