@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerflow.llm.store import partitions, written
+from ledgerflow.llm.store import SALTS, written
 from ledgerflow.llm.words import IS_SPACE, flat, mix, slices
 
 REACH = 32  # bytes that decide on a cut
@@ -22,7 +22,6 @@ MEAN_CHUNK = 2048
 MOST_CHUNK = 1 << 16
 WINDOW = 1 << 20
 DIGEST_BYTES = 16
-SALTS = 32  # tasks over which the rows of one group are spread
 
 GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerflow.llm.store import written
+from ledgerflow.llm.store import SALTS, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -31,3 +31,35 @@ def components(links: DataFrame) -> DataFrame:
             "links",
         )
     return labels
+
+
+def labelled(rows: DataFrame, heads: DataFrame, groups: DataFrame) -> DataFrame:
+    """Every row with its component's smallest id and whether it stays.
+
+    ``rows(row, doc_id, print, ...)`` are equal where their prints are; a null print
+    is equal to none. ``heads(print, head, copies, ...)`` names one row of each print,
+    ``groups(row, component)`` the components of heads that have links. The result has
+    the columns of ``rows`` but the print, further columns of ``heads`` where a row isn't
+    alone, ``component_id`` and ``kept``: true for the row with the smallest id, null ids
+    last, and for one row of several with that id. Rows of one group are spread.
+    """
+    further = [c for c in heads.columns if c not in ("print", "head", "copies")]
+    of_head = heads.join(groups.withColumnRenamed("row", "head"), "head", "left").select(
+        "print", F.coalesce("component", "head").alias("component"), "copies", *further)
+    sizes = of_head.groupBy("component").agg(F.sum("copies").alias("size")).where("size > 1")
+    joined = of_head.join(sizes, "component").select(F.col("print").alias("of"), "component", *further)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt_of")
+    spread = joined.select("*", salts)
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+    found = written(
+        salted.join(spread, (salted["print"] == spread["of"]) & (salted["salt"] == spread["salt_of"]), "left").drop("print", "of", "salt_of"),
+        "rows",
+    )
+    first = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row")
+    best = found.where("component is not null").groupBy("component").agg(F.min(first).alias("best"))
+    spread = best.select(F.col("component").alias("of"), "best", salts)
+    out = found.join(spread, (found["component"] == spread["of"]) & (found["salt"] == spread["salt_of"]), "left")
+    alone = F.col("best").isNull()
+    return out.withColumns({
+        "component_id": F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")), "kept": alone | (F.col("best.row") == F.col("row")),
+    }).drop("component", "of", "salt_of", "salt", "best")

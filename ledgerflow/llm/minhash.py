@@ -21,8 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerflow.llm.exact_dedup import SALTS
-from ledgerflow.llm.graph import components
+from ledgerflow.llm.graph import components, labelled
 from ledgerflow.llm.store import checked_broadcast, written
 from ledgerflow.llm.words import flat, mix, shingle_hashes, slices, word_hashes
 
@@ -173,7 +172,8 @@ def near_duplicates(
     other = small.select("bucket", F.col("b").alias("a"), F.col("size_b").alias("size_a"), F.col("of_b").alias("of_a"))
     found = confirmed(close(small.join(other, "bucket").where("of_a <> of_b and a < b")), sets, percent)
     links = links.union(found).union(_in_blocks(member.where(F.col("members") > SMALL), sets, percent))
-    return _labelled(known, heads, grouped(written(links, "links")))
+    found = labelled(known.select("row", "doc_id", "n_shingles", "print"), heads, grouped(written(links, "links")))
+    return found.select("row", "doc_id", "n_shingles", "component_id", "kept")
 
 
 def _in_blocks(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -235,28 +235,3 @@ def _compare(percent: int):
         moved = labels != np.arange(len(rows))
         return pa.table({"a": rows[labels[moved]], "b": rows[moved]})
     return run
-
-
-def _labelled(known: DataFrame, heads: DataFrame, groups: DataFrame) -> DataFrame:
-    """Every row with its component: its set's head, then what that head is linked with."""
-    of_head = heads.join(groups.withColumnRenamed("row", "head"), "head", "left").select(
-        "print", F.coalesce("component", "head").alias("component"), "copies", (F.col("component").isNotNull()).alias("compared"))
-    sizes = of_head.groupBy("component").agg(F.sum("copies").alias("size")).where("size > 1")
-    joined = of_head.join(sizes, "component").select(F.col("print").alias("of"), "component")
-    spread = joined.withColumn("salt_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = known.drop("bands").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
-    rows = written(
-        salted.join(spread, (salted["print"] == spread["of"]) & (salted["salt"] == spread["salt_of"]), "left")
-        .select("row", "doc_id", "n_shingles", "component", "salt"),
-        "rows",
-    )
-    first = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row")
-    best = rows.where("component is not null").groupBy("component").agg(F.min(first).alias("best"))
-    spread = best.withColumn("salt_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("component", "of")
-    out = rows.join(spread, (rows["component"] == spread["of"]) & (rows["salt"] == spread["salt_of"]), "left")
-    alone = F.col("best").isNull()
-    return out.select(
-        "row", "doc_id", "n_shingles",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("component_id"),
-        (alone | (F.col("best.row") == F.col("row"))).alias("kept"),
-    )

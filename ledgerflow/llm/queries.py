@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerflow.llm.exact_dedup import exact_duplicates
 from ledgerflow.llm.langid import fit_languages, held_out, identify
+from ledgerflow.llm.lattice import near_vectors
 from ledgerflow.llm.lm import score
 from ledgerflow.llm.minhash import near_duplicates
 from ledgerflow.llm.mixing import fitting_sql, mixed
@@ -35,6 +36,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checksums(pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 # Shares of the training mix: the largest source is held back, smaller languages and long texts gain.
 TARGETS = {
     "source": {"src0": 0.30} | {f"src{k}": 0.70 / 19 for k in range(1, 20)},
@@ -82,6 +87,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate(docs, quality_model(docs, spark, sf_dir))
 
 
+OP2_SQL = """
+with recursive vectors as (
+  select vec_id, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+),
+links as (
+  select a.vec_id as a, b.vec_id as b from vectors a join vectors b on a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.e, b.e) >= 0.9
+),
+reached as (
+  select vec_id, vec_id as other from embeddings
+  union
+  select vec_id, b as other from reached join links on other = a
+)
+select v.vec_id, coalesce(n, 0) as n_links, low as component_id, v.vec_id = low as kept
+from embeddings v left join (select a, count(*) as n from links group by a) on a = v.vec_id
+join (select vec_id, min(other) as low from reached group by vec_id) using (vec_id)
+"""
+
 OP7_SQL = r"""
 with texts as (
   select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as plain from documents
@@ -128,6 +151,7 @@ join (select doc_id, min(other) as low from reached group by doc_id) using (doc_
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_packing": (op1_packing, None),
+    "op2_lattice": (op2_lattice, OP2_SQL),
     "op3_mixing": (op3_mixing, fitting_sql(TARGETS)),
     "op4_language_id": (op4_language_id, None),
     "op5_token_counts": (op5_token_counts, None),

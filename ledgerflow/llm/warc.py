@@ -22,8 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerflow.llm.exact_dedup import SALTS
-from ledgerflow.llm.store import folder, written
+from ledgerflow.llm.store import SALTS, folder, written
 
 RECORDS_A_FILE = 1000
 CAPTURED = "20240101000000"  # the pages table holds no time of capture
