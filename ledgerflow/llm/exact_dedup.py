@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerflow.llm.store import SALTS, written
+from ledgerflow.llm.store import SALTS, small_batches, written
 from ledgerflow.llm.words import IS_SPACE, flat, mix, slices
 
 REACH = 32  # bytes that decide on a cut
@@ -157,6 +157,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     not read, so their names can't clash. ``row`` is ``monotonically_increasing_id``
     of ``docs``. ``digest_bits`` shortens the digests, for tests of clashes.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     recipes = written(

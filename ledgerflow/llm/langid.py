@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ledgerflow.llm.store import small_batches
 from ledgerflow.llm.words import IS_MARK, LOWER, WINDOW, flat, slices
 
 SIZES = (2, 3, 4)
@@ -104,6 +105,7 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     At most ``most_sampled`` texts are read, as many of each language, those whose ids
     have the smallest hashes. Their features, not their texts, come to the driver.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where("doc_id is not null and lang is not null and text is not null")
     langs = [r["lang"] for r in rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()]
@@ -169,6 +171,7 @@ def identify(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "te
     columns are not read. The model is broadcast: three tables of a fixed number of
     subwords for at most MOST_LANGUAGES languages.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerflow.llm.graph import components, labelled
 from ledgerflow.llm.minhash import spanning
-from ledgerflow.llm.store import checked_broadcast, written
+from ledgerflow.llm.store import checked_broadcast, small_batches, written
 from ledgerflow.llm.words import mix
 
 TABLES, PROBES, SCALE = 4, 6, 0.6  # a pair with a cosine of 0.9 is found with probability 0.996, one of 0.95 with 0.99999
@@ -183,6 +183,7 @@ def near_vectors(
     holds null or non-finite components links with nothing, and vectors of different
     lengths don't link. Other columns are not read.
     """
+    small_batches(vectors.sparkSession)
     settings = (tables, probes, scale)
     given = vectors.select(F.col(id_col).alias("doc_id"), F.col(embedding_col).alias("embedding")).withColumn("row", F.monotonically_increasing_id())
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerflow.llm.store import written
+from ledgerflow.llm.store import small_batches, written
 from ledgerflow.llm.words import flat, mix, slices, word_hashes
 
 END, START = np.uint64(0x1D8E4E27C47D124F), np.uint64(0x5851F42D4C957F2D)  # tokens that are no word
@@ -276,7 +276,7 @@ def fit_counts(texts: DataFrame, n_bytes: int, tokens_a_range: int = TOKENS_A_RA
     word_bits, pair_bits = _bits(expected / tokens_a_range / 4), _bits(expected / tokens_a_range)
     parts = texts.select("text").mapInArrow(_count(word_bits, pair_bits), COUNTS)
     merged = parts.groupBy("kind", "range").applyInArrow(_merge, COUNTS + ", distinct long, total long, sizes array<long>")
-    return written(merged, "counts", batch_rows=1000), word_bits, pair_bits
+    return written(merged, "counts"), word_bits, pair_bits
 
 
 def build(counts: DataFrame, word_bits: int, pair_bits: int, most_bytes: int, most_frequent: int) -> dict:
@@ -333,6 +333,7 @@ def score(
     known and every token has probability 1 there. Ids may be null or repeated. Other
     columns are not read. Word counts are exact up to equal 64-bit hashes.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     training = texts.where("not held_out")

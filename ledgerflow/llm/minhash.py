@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerflow.llm.graph import components, labelled
-from ledgerflow.llm.store import checked_broadcast, written
+from ledgerflow.llm.store import checked_broadcast, small_batches, written
 from ledgerflow.llm.words import flat, mix, shingle_hashes, slices, word_hashes
 
 BANDS, ROWS = 24, 6  # at a similarity of 0.8 a pair shares a band with probability 0.999, at 0.85 with 0.99998
@@ -123,6 +123,7 @@ def near_duplicates(
     the row that has it stays, exactly one of repeated rows. Other columns are not read.
     ``row`` is ``monotonically_increasing_id`` of ``docs``.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     known = written(

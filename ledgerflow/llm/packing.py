@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerflow.llm.store import written
+from ledgerflow.llm.store import small_batches, written
 from ledgerflow.llm.words import flat, located_words, slices
 
 CAPACITY = 2048
@@ -34,7 +34,7 @@ END_ID = 1
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"  # fixed value: marks a word's last token in the vocabulary
 PLAIN = re.compile("[\t\n\r -~¡-įı-ňŊ-ſ]*")  # lower case and composition are the same in all libraries
-MOST_KNOWN = 1_500_000  # words whose ids a worker remembers at a time, in about 50 MB
+MOST_KNOWN = 600_000  # words whose ids a worker remembers at a time, in about 20 MB
 MERGE_FROM = 100_000
 FLUSH_TOKENS = 1 << 19
 
@@ -276,11 +276,12 @@ def pack(
     with open(tokenizer_path, encoding="utf-8") as file:
         tokenizer = file.read()
     Encoder(tokenizer)
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     shape = f"doc_id {kind}, start long, length long, doc_tokens long, part int, class_size int, place long, offset long, complete boolean, ids array<int>"
-    pieces = written(texts.mapInArrow(_fill(shared, capacity, slack, end_id), shape), "pieces", batch_rows=1000)
+    pieces = written(texts.mapInArrow(_fill(shared, capacity, slack, end_id), shape), "pieces")
     complete = pieces.where("complete").withColumn("sequence_id", F.col("part").cast("long") * F.lit(1 << 38) + F.col("place"))
 
     # Left over: at most k - 1 pieces of class k from each worker.

@@ -13,12 +13,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ledgerflow.llm.store import small_batches
 from ledgerflow.llm.words import IS_MARK, IS_SPACE, flat, mix, slices, word_bounds, word_hashes
 
 BITS = 18  # of a hashed feature
 SHAPES = 1 << 10
 BEGINNING = 4  # bytes of a word's beginning
-MOST_RATED = 4_000  # rated documents of each grade that the fit reads at most
+MOST_RATED = 3_000  # rated documents of each grade that the fit reads at most
 EPOCHS = 12
 RATE, DECAY = 0.5, 2e-6
 GRADES = 3
@@ -150,6 +151,7 @@ def fit_ratings(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", tex
     their texts, come to the driver. Ratings with a null or of unknown documents don't
     count; without any the model rates all texts alike.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rated = ratings.select(F.col("doc_id"), F.col("grade").cast("int").alias("grade")).where(F.col("doc_id").isNotNull() & F.col("grade").between(0, n_grades - 1))
     order = Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -191,6 +193,7 @@ def rate(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text",
     on. A null text or one without words has no features, so thresholds alone rate it.
     Ids may be null or repeated. Other columns are not read.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
@@ -199,6 +202,7 @@ def rate(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text",
 
 def selected(docs: DataFrame, model, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that ``rate`` selects, with all their columns, in the same pass."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

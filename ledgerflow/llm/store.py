@@ -11,6 +11,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
 SALTS = 32  # tasks over which the rows of one group are spread
 # Rows of one long key that are broadcast at most: 16 MB of keys, under 100 MB
 # as a hash table. Beyond that the join is shuffled.
@@ -27,19 +28,21 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
-    """``df`` evaluated once, as a Parquet table read back.
+def small_batches(spark: SparkSession) -> None:
+    """From now on Python tasks of the session get at most BATCH_ROWS rows at once.
 
-    ``batch_rows`` bounds the rows of an Arrow batch meanwhile, where Python tasks
-    need much memory a row.
+    Whole documents are long; ten thousand of them, Spark's default, take much memory
+    in both the JVM and Python. A smaller setting of the caller's stays.
     """
-    path, conf = folder(df.sparkSession, name), df.sparkSession.conf
-    before = conf.get(ARROW_ROWS)
-    conf.set(ARROW_ROWS, str(batch_rows or before))
-    try:
-        df.write.parquet(path)
-    finally:
-        conf.set(ARROW_ROWS, before)
+    now = int(spark.conf.get(ARROW_ROWS))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` evaluated once, as a Parquet table read back."""
+    path = folder(df.sparkSession, name)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

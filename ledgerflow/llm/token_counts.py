@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerflow.llm.store import small_batches
 from ledgerflow.llm.words import flat, slices
 
 # Fixed value: the split pattern of byte-level BPE tokenizers.
@@ -150,6 +151,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     with open(tokenizer_path, encoding="utf-8") as file:
         tokenizer = file.read()
     TokenCounter(tokenizer)  # refuses other kinds of tokenizers at once
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerflow.llm.store import SALTS, folder, written
+from ledgerflow.llm.store import SALTS, folder, small_batches, written
 
 RECORDS_A_FILE = 1000
 CAPTURED = "20240101000000"  # the pages table holds no time of capture
@@ -91,6 +91,7 @@ def write_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     A null html is empty; a page without url is named by its id; url characters that
     end a header field are percent-encoded.
     """
+    small_batches(pages.sparkSession)
     rows = pages.select(F.col(id_col), F.col(url_col), F.col(html_col))
     return _text_files(rows.mapInArrow(_arc_lines(records_a_file), "value binary"), "arc", records_a_file)
 

@@ -9,8 +9,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-WINDOW = 1 << 20  # bytes hashed at a time; bounds memory for long texts
-CHUNK = 1 << 20  # bytes of text in one slice of a batch, single documents aside
+WINDOW = 1 << 19  # bytes hashed at a time; bounds memory for long texts
+CHUNK = 1 << 19  # bytes of text in one slice of a batch, single documents aside
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
