@@ -9,12 +9,13 @@ from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, StringType, StructType
 
-from ledgerflow.operators.size import BROADCAST_BYTES, broadcast_bytes
+from ledgerflow.operators.size import BROADCAST_BYTES, broadcast_bytes, kept_aside
 
 MISSING = "missing_required"
 NOT_LATEST = "not_latest"
+LOSSY = "lossy_cast"
 
 
 def validate_schema(df: DataFrame, required: StructType) -> bool:
@@ -36,6 +37,32 @@ def require_schema(df: DataFrame, required: StructType, entity: str) -> DataFram
     return df.select(*required.fieldNames())
 
 
+def named(df: DataFrame, schema: StructType, entity: str) -> DataFrame:
+    """The columns of ``schema`` with its names and the source's types, or ``ValueError``.
+
+    Names match whatever their case, as Spark resolves them.
+    """
+    there = {name.lower() for name in df.columns}
+    absent = [name for name in schema.fieldNames() if name.lower() not in there]
+    if absent:
+        raise ValueError(f"{entity} columns missing: {', '.join(absent)}")
+    return df.select(*(F.col(name).alias(name) for name in schema.fieldNames()))
+
+
+def lossy_cast(df: DataFrame, schema: StructType) -> Column:
+    """Whether some value of a row doesn't survive the cast to its declared type."""
+    def lost(field) -> Column:
+        own, value = df.schema[field.name].dataType, F.col(field.name)
+        cast = value.try_cast(field.dataType)
+        if isinstance(own, StringType):  # other spellings of a value are no loss
+            exact = value.try_cast("decimal(38,18)") if isinstance(field.dataType, DecimalType) else cast
+            return value.isNotNull() & (cast.isNull() | (cast != exact))
+        return ~cast.try_cast(own).eqNullSafe(value)
+
+    changed = [f for f in schema if df.schema[f.name].dataType != f.dataType]
+    return reduce(or_, map(lost, changed), F.lit(False))
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Rename and cast a source frame (say, upper-case names) to ``schema``."""
     return df.select(
@@ -97,13 +124,15 @@ def rejected_rows(
     contents and is combined map-side, so neither a hot key nor a row repeated
     a thousand million times gathers in one task.
 
-    The keys with several rows are counted first. Where they measure within
-    ``limit`` bytes they are broadcast, and all other rows stay out of the
-    shuffles. ``df`` is read several times, so it should be a written table.
+    The keys with several rows are counted first, once, into a table on shared
+    storage. Where they measure within ``limit`` bytes they are broadcast, and all
+    other rows stay out of the shuffles. ``df`` is read several times, so it should
+    be a written table.
     """
     incomplete = has_null(not_null_columns)
     missing, rivals = df.filter(incomplete), df.filter(~incomplete)
     repeated = prefixed(rivals.groupBy(*id_columns).count().filter("count > 1"), id_columns)
+    repeated = kept_aside(repeated, "repeated-keys")
     if broadcast_bytes(repeated) <= limit:
         rivals = rivals.join(F.broadcast(repeated), same_key(id_columns), "left_semi")
     kept = latest_per_key(rivals, id_columns, [updated])

@@ -1,16 +1,12 @@
 """Accounts joined with exchange quotes."""
 
-from math import ceil
-
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerflow.functions.account import HOME_CURRENCY
 from ledgerflow.operators.checks import require_schema
-from ledgerflow.operators.size import BROADCAST_BYTES, broadcast_bytes
+from ledgerflow.operators.size import BROADCAST_BYTES, broadcast_bytes, kept_aside
 from ledgerflow.schemas import EXCHANGE_RATE
 
-MOST_HOT = 1000
-
 
 def usd_quotes(rates: DataFrame) -> DataFrame:
     """One dollar quote per currency; a second one fails the query."""
@@ -28,40 +24,40 @@ def usd_quotes(rates: DataFrame) -> DataFrame:
     )
 
 
-def hot_currencies(accounts: DataFrame, parts: int) -> list[tuple[str, int]]:
-    """Currencies with more than one in ``MOST_HOT`` accounts.
+def hot_currencies(accounts: DataFrame, parts: int) -> DataFrame:
+    """``_hot, _salts``: currencies with more than one of ``parts`` equal shares of the accounts.
 
-    There are fewer than ``MOST_HOT`` of them, so they are all among the
-    ``MOST_HOT`` most frequent values; the row before those counts all accounts.
-    Each comes with the number of parts its accounts should be spread over.
+    There are fewer than ``parts`` of them, whatever the data. Each comes with the
+    number of parts its accounts should be spread over. The counts are taken once, on
+    shared storage, so that all readers agree on them; the driver sees their sum.
     """
-    counts = accounts.rollup("currency_code").agg(
-        F.grouping("currency_code").alias("is_total"), F.count("*").alias("n")
+    counts = accounts.groupBy("currency_code").agg(F.count("*").alias("n"))
+    counts = kept_aside(counts, "currency-counts")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()["total"]
+    hot = counts.filter(F.col("currency_code").isNotNull() & (F.col("n") * parts > total))
+    return hot.select(
+        F.col("currency_code").alias("_hot"),
+        F.ceil(F.col("n") * parts / F.lit(max(total, 1))).cast("int").alias("_salts"),
     )
-    most = counts.orderBy(F.desc("n"), F.desc("is_total")).limit(MOST_HOT + 1).collect()
-    if not most:
-        return []
-    total = most[0]["n"]
-    return [
-        (row["currency_code"], ceil(row["n"] * parts / total))
-        for row in most[1:]
-        if row["currency_code"] is not None and row["n"] * MOST_HOT > total
-    ]
-
-
-def spread_join(accounts: DataFrame, quotes: DataFrame, how: str) -> DataFrame:
+
+
+def spread_join(
+    accounts: DataFrame, quotes: DataFrame, how: str, counted: DataFrame | None = None
+) -> DataFrame:
     """Shuffled join on (currency, salt).
 
     Few currencies hold most accounts. Each hot one is spread over as many
     salts as its share of the shuffle partitions and its quotes are repeated
-    for each; all others keep one salt, so the quotes hardly grow. The list of
-    hot currencies is read once, so that both sides agree on it, and the salt
+    for each; all others keep one salt, so the quotes hardly grow. The salt
     of an account follows from its task and key, hence is the same on a retry.
+
+    ``counted`` are rows with at least the currencies of ``accounts``, for instance
+    the scan they come from, to count without running the plan of ``accounts``.
     """
     spark = accounts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = hot_currencies(accounts, parts)
-    hot = F.broadcast(spark.createDataFrame(found, "_hot string, _salts int"))
+    # Fewer rows than shuffle partitions.
+    hot = F.broadcast(hot_currencies(accounts if counted is None else counted, parts))
     nowhere = F.when(F.col("currency_code").isNull(), parts)  # matches no quote anyway
     salts = F.coalesce(F.col("_salts"), nowhere, F.lit(1))
     row_salt = F.pmod(F.xxhash64(F.spark_partition_id(), "account_id"), salts)
@@ -84,6 +80,7 @@ def join_quotes(
     quotes: DataFrame,
     how: str = "left",
     limit: int = BROADCAST_BYTES,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join on the account currency.
 
@@ -91,7 +88,7 @@ def join_quotes(
     where they are; beyond it both sides are shuffled.
     """
     if broadcast_bytes(quotes) > limit:
-        return spread_join(accounts, quotes, how)
+        return spread_join(accounts, quotes, how, counted)
     same_currency = F.col("currency_code") == F.col("from_currency")
     return accounts.join(F.broadcast(quotes), same_currency, how)
 
@@ -101,6 +98,7 @@ def join_rates(
     rates: DataFrame,
     all_quotes: bool = False,
     limit: int = BROADCAST_BYTES,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Every account with its dollar quote, or null where there is none.
 
@@ -108,7 +106,7 @@ def join_rates(
     comes back once per quote.
     """
     quotes = require_schema(rates, EXCHANGE_RATE, "exchange rate") if all_quotes else usd_quotes(rates)
-    return join_quotes(accounts, quotes, "left", limit)
+    return join_quotes(accounts, quotes, "left", limit, counted)
 
 
 def missing_rates(

@@ -28,7 +28,8 @@ def transform_account_data(
         require_schema(raw, ACCOUNT, "account"), ACCOUNT_KEYS, ACCOUNT_REQUIRED
     )
     today = as_date(as_of)
-    return join_rates(accounts, exchange_rates).withColumns({
+    # Currencies are counted on the scan: no fewer than in the checked rows.
+    return join_rates(accounts, exchange_rates, counted=raw).withColumns({
         "is_active": rule.is_active(),
         "is_closed": rule.is_closed(),
         "account_age_days": days_since("open_date", today),

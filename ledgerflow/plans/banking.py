@@ -4,6 +4,8 @@
 are those of the option builders.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import Row, SparkSession
 
 from ledgerflow.operators.checks import conform
@@ -17,12 +19,25 @@ from ledgerflow.sources.warehouse import SNOWFLAKE, read_warehouse_table, snowfl
 
 
 def customers_from_oracle(
-    spark: SparkSession, config: dict, table: str = "customers", partitions: int = DEFAULT_PARTITIONS
+    spark: SparkSession,
+    config: dict,
+    table: str = "customers",
+    predicates: Sequence[str] | None = None,
+    partition_column: str | None = None,
+    partitions: int = DEFAULT_PARTITIONS,
 ) -> Load:
-    """Customer ids are text, which a range scan refuses: split by their hash."""
+    """The scan is split by ``predicates``, best one for each physical piece of the
+    table (a partition, a range of row ids), or by ranges of ``partition_column``, an
+    indexed number or date. Without either it is split by the hash of the id: that
+    always works, but the database reads the whole table once for each part.
+    """
     options = oracle_options(config["oracle"])
-    parts = modulo_predicates("ORA_HASH(customer_id)", partitions)
-    return customer_load(lambda: read_jdbc_table(spark, options, table, predicates=parts))
+    if predicates is None and partition_column is None:
+        predicates = modulo_predicates("ORA_HASH(customer_id)", partitions)
+    return customer_load(lambda: read_jdbc_table(
+        spark, options, table, predicates=predicates,
+        partition_column=partition_column, num_partitions=partitions,
+    ))
 
 
 def accounts_from_snowflake(
@@ -42,7 +57,22 @@ def accounts_from_snowflake(
     )
 
 
-def run_banking(spark: SparkSession, config: dict, *further: Load) -> dict[str, Row]:
-    """Customers, accounts, then any ``further`` loads, into the bucket of ``aws``."""
-    loads = [customers_from_oracle(spark, config), accounts_from_snowflake(spark, config), *further]
-    return run_all(spark, loads, bucket_uri(config["aws"]))
+def run_banking(
+    spark: SparkSession,
+    config: dict,
+    *further: Load,
+    customers: dict | None = None,
+    accounts: dict | None = None,
+    ingested_at: str | None = None,
+) -> dict[str, Row]:
+    """Customers, accounts, then any ``further`` loads, into the bucket of ``aws``.
+
+    ``customers`` and ``accounts`` are arguments of ``customers_from_oracle`` and
+    ``accounts_from_snowflake``: tables, how to split the scan, the connector's format.
+    """
+    loads = [
+        customers_from_oracle(spark, config, **(customers or {})),
+        accounts_from_snowflake(spark, config, **(accounts or {})),
+        *further,
+    ]
+    return run_all(spark, loads, bucket_uri(config["aws"]), ingested_at)

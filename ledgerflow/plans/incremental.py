@@ -16,39 +16,61 @@ def read_if_present(spark: SparkSession, path: str, schema, **options) -> DataFr
     would load everything again.
     """
     try:
-        return spark.read.schema(schema).options(**options).parquet(path)
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.options(**options).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def live_commits(table: DataFrame) -> DataFrame:
+    """Marks that hold: of the commits of one batch, the last attempt's only."""
+    last = F.max_by(F.struct(*table.columns), "attempt").alias("last")
+    commits = table.filter("batch IS NOT NULL").groupBy("entity", "batch").agg(last).select("last.*")
+    return table.filter("batch IS NULL").unionByName(commits)
+
+
 def high_waters(table: DataFrame) -> DataFrame:
     """The greatest mark of each entity."""
-    return table.groupBy("entity").agg(F.max("high_water").alias("high_water"))
+    return live_commits(table).groupBy("entity").agg(F.max("high_water").alias("high_water"))
+
 
+def read_watermark(spark: SparkSession, path: str, entity: str, before: str | None = None) -> str | None:
+    """Mark of ``entity`` as text in the session time zone; ``None`` for a first load.
 
-def read_watermark(spark: SparkSession, path: str, entity: str) -> str | None:
-    """Mark of ``entity`` as text in the session time zone; ``None`` for a first load."""
+    With ``before`` only the marks of earlier batches count, so that a batch that
+    runs again extracts what it did the first time.
+    """
     table = read_if_present(spark, path, WATERMARK)
     if table is None:
         return None
+    marks = live_commits(table.filter(F.col("entity") == entity))
+    if before is not None:
+        marks = marks.filter(F.col("batch").isNull() | (F.col("batch") < before))
     mark = F.max("high_water").cast("string").alias("mark")
-    return table.filter(F.col("entity") == entity).agg(mark).first()["mark"]
+    return marks.agg(mark).first()["mark"]
 
 
 def update_watermark(
     spark: SparkSession,
     path: str,
     entity: str,
-    high_water: datetime | str,
+    high_water: datetime | str | None,
     updated_at: datetime | str | None = None,
+    **facts,
 ) -> None:
-    """Append one mark. Readers take the greatest, so a mark never moves back."""
+    """Append one mark. Readers take the greatest, so a mark never moves back.
+
+    ``facts`` are further columns of the table: with a batch the row is a commit.
+    """
+    known = {
+        "entity": F.lit(entity),
+        "high_water": F.lit(None) if high_water is None else as_timestamp(high_water),
+        "updated_at": as_timestamp(updated_at),
+    } | {name: F.lit(value) for name, value in facts.items()}
     row = spark.range(1, numPartitions=1).select(
-        F.lit(entity).alias("entity"),
-        as_timestamp(high_water).alias("high_water"),
-        as_timestamp(updated_at).alias("updated_at"),
+        *(known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in WATERMARK)
     )
     row.write.mode("append").parquet(path)
 
@@ -57,10 +79,10 @@ def changed_since(source: DataFrame, column: str, watermark: datetime | str | No
     """Rows at or after the mark, or the whole source without one.
 
     The mark is cast to the type of the column, not the column to the type of
-    the mark, so the filter reaches the Parquet or JDBC scan. A row with no
-    change date is only seen by a full load.
+    the mark, so the filter reaches the Parquet or JDBC scan. Rows with no
+    change date come with every batch.
     """
     if watermark is None:
         return source
     own_type = source.select(column).schema[0].dataType
-    return source.filter(F.col(column) >= as_timestamp(watermark).cast(own_type))
+    return source.filter((F.col(column) >= as_timestamp(watermark).cast(own_type)) | F.col(column).isNull())

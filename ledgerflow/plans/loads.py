@@ -1,31 +1,38 @@
 """Extract, transform, load and validate one entity, repeatably.
 
-A load may run any number of times: rows are published into one partition per
-ingestion day, a second batch on the same day is merged into it, and the
-high-water mark moves only after the rows pass their checks.
+Each run writes its rows once, into a folder of its own, checks them as read back,
+and then appends one commit row to the table of high-water marks. Readers take
+committed folders only, so a run that dies or fails leaves nothing to be seen, and
+nothing that was published is ever deleted or rewritten. A run with the time stamp of
+an earlier one extracts what that one did and takes its place. The latest row of each
+key is picked on reading.
 """
 
 import logging
-from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass
+import re
+import time
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 from uuid import NAMESPACE_URL, uuid5
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ledgerflow.functions.dates import as_date, as_timestamp
+from ledgerflow.functions.dates import as_timestamp
 from ledgerflow.operators.checks import (
-    apply_standard_checks, conform, latest_per_key, require_schema,
+    LOSSY, apply_standard_checks, conform, has_null, latest_per_key, lossy_cast, named,
+    rejected_rows, require_schema,
 )
-from ledgerflow.operators.merge import merge_latest
+from ledgerflow.operators.currency import missing_rates
 from ledgerflow.operators.quality import quality_report
 from ledgerflow.plans.account import transform_account_data
 from ledgerflow.plans.customer import transform_customer_data, with_vip
 from ledgerflow.plans.incremental import (
-    changed_since, read_if_present, read_watermark, update_watermark,
+    changed_since, live_commits, read_if_present, read_watermark, update_watermark,
 )
 from ledgerflow.schemas import (
-    ACCOUNT, ACCOUNT_KEYS, ACCOUNT_REQUIRED, CUSTOMER, CUSTOMER_KEYS, CUSTOMER_REQUIRED,
+    ACCOUNT, ACCOUNT_KEYS, ACCOUNT_REQUIRED, CUSTOMER, CUSTOMER_KEYS, CUSTOMER_REQUIRED, WATERMARK,
 )
 from ledgerflow.sinks.lake import write_parquet
 from ledgerflow.sources.lake import lake_path
@@ -35,10 +42,11 @@ log = logging.getLogger(__name__)
 DAY = "ingestion_date"
 STAMP = "ingestion_timestamp"
 WATERMARKS = "banking/metadata/watermarks"
+REJECTED = "banking/rejected"
 
 
 class ValidationFailed(RuntimeError):
-    """Loaded rows failed a check; the high-water mark was left alone."""
+    """Loaded rows failed a check; they were not committed."""
 
 
 @dataclass(frozen=True)
@@ -46,9 +54,15 @@ class Load:
     """What one entity needs; everything else is the same for all.
 
     ``source`` builds a lazy scan with the source's own names and types.
-    ``transform`` takes the rows in ``schema`` and the run's timestamp and
-    adds an ``ingestion_timestamp``. With ``raise_on_failure`` off a failed
-    check is only logged: the rows are published, the high-water mark stays.
+    ``transform`` takes the rows in ``schema``, the run's timestamp and the tables
+    named in ``sides``, and adds an ``ingestion_timestamp``. The side tables are read
+    once a run and written to shared storage. ``facts`` takes the loaded rows and the
+    side tables and returns further numbers for the report.
+
+    ``most_rejected`` is the share of the extracted rows that may be left out. With
+    ``check_table`` the latest rows of all batches are checked as well. With
+    ``raise_on_failure`` off a failed check is only logged: the rows are committed,
+    the high-water mark stays.
     """
 
     entity: str
@@ -57,11 +71,14 @@ class Load:
     keys: Sequence[str]
     required: Sequence[str]
     source: Callable[[], DataFrame]
-    transform: Callable[[DataFrame, str], DataFrame]
+    transform: Callable[..., DataFrame]
     updated: str = "last_updated"
     max_age_hours: int = 24
     raise_on_failure: bool = True
-    check_first: bool = False
+    most_rejected: float = 1.0
+    check_table: bool = False
+    sides: Mapping[str, Callable[[], DataFrame]] = field(default_factory=dict)
+    facts: Callable[..., dict] | None = None
 
 
 def customer_load(source: Callable[[], DataFrame], as_of=None, path="banking/customers") -> Load:
@@ -79,11 +96,18 @@ def account_load(
     as_of=None,
     path="banking/accounts",
 ) -> Load:
-    def transform(raw, stamp):
+    """The report counts the foreign balances that no dollar quote converts."""
+    def transform(raw, stamp, rates):
         today = day_of(stamp) if as_of is None else as_of
-        return transform_account_data(raw, exchange_rates(), today, stamp)
+        return transform_account_data(raw, rates, today, stamp)
+
+    def facts(rows, rates):
+        return {"missing_rates": missing_rates(rows, rates).count()}
 
-    return Load("accounts", path, ACCOUNT, ACCOUNT_KEYS, ACCOUNT_REQUIRED, source, transform)
+    return Load(
+        "accounts", path, ACCOUNT, ACCOUNT_KEYS, ACCOUNT_REQUIRED, source, transform,
+        sides={"rates": exchange_rates}, facts=facts,
+    )
 
 
 def transaction_load(
@@ -108,50 +132,78 @@ def day_of(stamp: str) -> str:
     return stamp[:10]
 
 
-def read_day(spark: SparkSession, target: str, day: str, schema: StructType) -> DataFrame | None:
-    """One day's partition, or ``None`` before its first batch."""
-    return read_if_present(spark, f"{target}/{DAY}={day}", schema, basePath=target)
+def batch_of(stamp: str) -> str:
+    """Names a run; in the order of the stamps."""
+    return re.sub(r"\D", "", stamp).ljust(20, "0")
 
 
-def stage(
-    spark: SparkSession, rows: DataFrame, base_uri: str, target: str, step: str
-) -> DataFrame:
+def stage(spark: SparkSession, rows: DataFrame, base_uri: str, step: str) -> DataFrame:
     """Rows written to and read back from shared storage.
 
-    Each step of a table has one folder that is used again, so leftovers stay
+    Each step of a lake has one folder that is used again, so leftovers stay
     bounded.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or lake_path(base_uri, "banking/staging")
-    path = f"{shared.rstrip('/')}/{step}-{uuid5(NAMESPACE_URL, target).hex}"
+    path = f"{shared.rstrip('/')}/{step}-{uuid5(NAMESPACE_URL, base_uri).hex}"
     rows.write.mode("overwrite").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def publish(rows: DataFrame, load: Load, base_uri: str) -> None:
-    """Replace the partition of the rows' day and leave all other days alone.
+def committed(spark: SparkSession, base_uri: str, entity: str, path: str) -> DataFrame | None:
+    """All committed rows with their ingestion day, or ``None`` before the first commit.
 
-    There is one day only and the rows are spread by key already, so they are
-    written as they lie: regrouping them by day would shuffle for nothing.
+    The driver reads the names of the committed folders, one a run.
     """
-    write_parquet(
-        rows, base_uri, load.path, partition_by=[DAY], mode="overwrite",
-        dynamic=True, rebalance=False,
+    table = read_if_present(spark, lake_path(base_uri, WATERMARKS), WATERMARK)
+    if table is None:
+        return None
+    live = live_commits(table.filter(F.col("entity") == entity)).filter("folder IS NOT NULL")
+    folders = [lake_path(base_uri, row["folder"]) for row in live.select("folder").collect()]
+    if not folders:
+        return None
+    return spark.read.option("basePath", lake_path(base_uri, path)).parquet(*folders).drop("batch")
+
+
+def read_table(spark: SparkSession, base_uri: str, load: Load) -> DataFrame:
+    """The committed rows of a load, or ``LookupError`` before its first commit."""
+    table = committed(spark, base_uri, load.entity, load.path)
+    if table is None:
+        raise LookupError(f"nothing is committed for {load.entity}")
+    return table
+
+
+def read_rejected(spark: SparkSession, base_uri: str, entity: str) -> DataFrame | None:
+    """What all runs of an entity left out, with reasons; ``None`` if nothing."""
+    return read_if_present(spark, lake_path(base_uri, f"{REJECTED}/{entity}"), None)
+
+
+def current_report(table: DataFrame, load: Load, stamp: str) -> DataFrame:
+    """The checks over the latest rows of all batches, one row."""
+    return quality_report(
+        current_rows(table, load.keys, load.updated), load.keys, load.required, STAMP,
+        load.max_age_hours, stamp, load.updated,
     )
 
 
-def check(rows: DataFrame, load: Load, stamp: str) -> Row:
-    """The quality report; a failed one is logged, or raised if the load says so."""
-    report = quality_report(
-        rows, load.keys, load.required, STAMP, load.max_age_hours, stamp, load.updated
-    ).withColumn("high_water", F.col("high_water").cast("string")).first()
-    if not report["passed"]:
-        log.warning(
-            "%s: %d duplicate rows, %d nulls in required columns, fresh: %s",
-            load.entity, report["duplicate_rows"], report["null_cells"], report["is_fresh"],
-        )
-        if load.raise_on_failure:
-            raise ValidationFailed(f"{load.entity}: rows of {day_of(stamp)} failed their checks")
-    return report
+COUNTED = ("source_rows", "rejected_lossy", "rejected_missing")
+
+
+def observed(seen: Observation) -> dict[str, int]:
+    """What a written plan counted; all zero where it was cut away for want of rows."""
+    try:
+        return {name: seen.get[name] for name in COUNTED}
+    except (KeyError, Py4JJavaError):
+        return dict.fromkeys(COUNTED, 0)
+
+
+def _write_rejected(spark, load: Load, given: DataFrame, damaged, base_uri: str, batch: str) -> None:
+    """The extracted rows that the load leaves out, in the source's own types."""
+    given = stage(spark, given, base_uri, f"{load.entity}-extracted")
+    whole = given.filter(~damaged)
+    rejected = rejected_rows(whole, load.keys, load.required, load.updated)
+    lossy = given.filter(damaged).groupBy(*given.columns).agg(F.count("*").alias("copies"))
+    rejected = rejected.unionByName(lossy.withColumn("reason", F.lit(LOSSY)))
+    write_parquet(rejected, base_uri, f"{REJECTED}/{load.entity}/batch={batch}", mode="errorifexists")
 
 
 def run_load(
@@ -162,39 +214,68 @@ def run_load(
     ``ingested_at`` ("yyyy-MM-dd HH:mm:ss", session time zone) is taken once
     per run, so a run crossing midnight stays within one day's partition.
 
-    The first batch of a day is written once and checked as read back. A later
-    one is merged with the day, latest row per key; the result has to be
-    staged, since a table cannot be read and overwritten in one job, and is
-    checked before it replaces the day. ``check_first`` stages and checks the
-    first batch too.
+    The rows are written once. What the transform's checks leave out is counted in
+    the same pass; only if there is something, it is extracted again and kept with
+    the reasons in ``banking/rejected``. A value that its declared type can't hold
+    rejects its row.
     """
     stamp = ingested_at or spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0]
-    day = day_of(stamp)
-    target = lake_path(base_uri, load.path)
-    watermarks = lake_path(base_uri, WATERMARKS)
+    day, batch = day_of(stamp), batch_of(stamp)
+    attempt = time.time_ns()
+    folder = f"{load.path}/{DAY}={day}/batch={batch}-{attempt}"
+    commits = lake_path(base_uri, WATERMARKS)
 
-    mark = read_watermark(spark, watermarks, load.entity)
+    mark = read_watermark(spark, commits, load.entity, before=batch)
     log.info("%s: %s", load.entity, f"changes since {mark}" if mark else "full load")
-    raw = conform(changed_since(load.source(), load.updated, mark), load.schema)
-    batch = load.transform(raw, stamp).withColumn(DAY, as_date(day))
-
-    earlier = read_day(spark, target, day, batch.schema)
-    if earlier is None and not load.check_first:
-        publish(batch, load, base_uri)
-        written = read_day(spark, target, day, batch.schema)
-        # An empty batch leaves no partition behind.
-        report = check(batch.limit(0) if written is None else written, load, stamp)
-    else:
-        staged = stage(spark, batch, base_uri, target, "batch")
-        if earlier is not None:
-            merged = merge_latest(earlier, staged, load.keys, [load.updated, STAMP])
-            staged = stage(spark, merged, base_uri, target, "merged")
-        report = check(staged, load, stamp)
-        publish(staged, load, base_uri)
-
-    if report["passed"] and report["high_water"] is not None:
-        update_watermark(spark, watermarks, load.entity, report["high_water"], stamp)
-    return report
+    given = changed_since(named(load.source(), load.schema, load.entity), load.updated, mark)
+    damaged = lossy_cast(given, load.schema)
+    seen = Observation()
+    counted = given.observe(
+        seen,
+        F.count(F.lit(1)).alias("source_rows"),
+        F.count_if(damaged).alias("rejected_lossy"),
+        F.count_if(~damaged & has_null(load.required)).alias("rejected_missing"),
+    )
+    sides = {name: stage(spark, build(), base_uri, f"{load.entity}-{name}") for name, build in load.sides.items()}
+    rows = load.transform(conform(counted.filter(~damaged), load.schema), stamp, **sides)
+    write_parquet(rows, base_uri, folder, mode="errorifexists")
+    written = spark.read.schema(rows.schema).parquet(lake_path(base_uri, folder))
+
+    report = quality_report(
+        written, load.keys, load.required, STAMP, load.max_age_hours, stamp, load.updated
+    ).withColumn("high_water", F.col("high_water").cast("string")).first().asDict()
+    counts = observed(seen)
+    rest = counts["source_rows"] - counts["rejected_lossy"] - counts["rejected_missing"] - report["row_count"]
+    report |= counts | {"rejected_not_latest": rest}
+    if load.facts:
+        report |= load.facts(written, **sides)
+    rejected = counts["source_rows"] - report["row_count"]
+    if rejected:
+        log.warning(
+            "%s: %d of %d rows rejected: %d with nulls, %d not the latest of their key, %d with values of another type",
+            load.entity, rejected, counts["source_rows"], counts["rejected_missing"], rest, counts["rejected_lossy"],
+        )
+        _write_rejected(spark, load, given, damaged, base_uri, f"{batch}-{attempt}")
+    report["passed"] = report["passed"] and rejected <= load.most_rejected * counts["source_rows"]
+    if load.check_table:
+        earlier = committed(spark, base_uri, load.entity, load.path)
+        both = written if earlier is None else earlier.drop(DAY).unionByName(written)
+        table = current_report(both, load, stamp).first()
+        report |= {"table_rows": table["row_count"], "table_null_cells": table["null_cells"]}
+        report["passed"] = report["passed"] and table["passed"]
+    if not report["passed"]:
+        log.warning(
+            "%s: %d duplicate rows, %d nulls in required columns, fresh: %s",
+            load.entity, report["duplicate_rows"], report["null_cells"], report["is_fresh"],
+        )
+        if load.raise_on_failure:
+            raise ValidationFailed(f"{load.entity}: rows of {stamp} failed their checks")
+    update_watermark(
+        spark, commits, load.entity, report["high_water"] if report["passed"] else None, stamp,
+        batch=batch, attempt=attempt, folder=folder, row_count=report["row_count"],
+        **counts, rejected_not_latest=rest,
+    )
+    return Row(**report)
 
 
 def run_all(
@@ -205,5 +286,5 @@ def run_all(
 
 
 def current_rows(table: DataFrame, keys: Sequence[str], updated: str = "last_updated") -> DataFrame:
-    """Latest row of each key over all ingestion days."""
+    """Latest row of each key over all batches; of equally new ones, that of the last run."""
     return latest_per_key(table, keys, [updated, STAMP])

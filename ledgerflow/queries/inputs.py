@@ -4,13 +4,14 @@ Each block is one SQL text that Spark and DuckDB both run; ``{name}`` stands
 for a table or another block.
 """
 
-import tempfile
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerflow.operators.size import shared_folder
+
 AS_OF = "2024-01-01"
 STAMP = "2024-01-01 00:00:00"
+LATER = "2024-01-01 06:00:00"
+NEXT_DAY = "2024-01-02 00:00:00"
 
 BLOCKS = {
     "customers_raw": """
@@ -76,6 +77,45 @@ select case when cast(customer_id as bigint) % 50 = 7 then null else customer_id
 union all
 select customer_id, 'MOVED' as segment, kyc_status, last_updated + 1 as last_updated
 from {customers_raw} where cast(customer_id as bigint) % 10 = 0
+union all
+select customer_id, segment, kyc_status, last_updated
+from {customers_raw} where cast(customer_id as bigint) % 20 in (3, 7)
+union all
+select customer_id, 'A TIE' as segment, kyc_status, last_updated
+from {customers_raw} where cast(customer_id as bigint) % 20 = 3
+""",
+    # A source with null ids, rows that moved, equal copies and ties.
+    "customers_bad": """
+select * from {customers_raw} where cast(customer_id as bigint) % 50 <> 7
+union all
+select * from {customers_second} where cast(customer_id as bigint) % 10 = 0
+union all
+select * from {customers_raw} where cast(customer_id as bigint) % 20 = 3
+union all
+select * from {customers_tied} where cast(customer_id as bigint) % 20 = 3
+union all
+select * from {customers_nameless} where cast(ssn as bigint) % 50 = 7
+""",
+    # The same source some hours later: every tenth customer has moved.
+    "customers_second": """
+select customer_id, first_name, last_name, date_of_birth, ssn, email, phone_number, address_line1,
+  address_line2, city, state, zip_code, country, customer_since,
+  case when cast(customer_id as bigint) % 10 = 0 then 'MOVED' else segment end as segment,
+  credit_score, total_assets, kyc_status,
+  case when cast(customer_id as bigint) % 10 = 0 then DATE '2024-01-01' else last_updated end as last_updated
+from {customers_raw}
+""",
+    "customers_tied": """
+select customer_id, first_name, last_name, date_of_birth, ssn, email, phone_number, address_line1,
+  address_line2, city, state, zip_code, country, customer_since, 'A TIE' as segment,
+  credit_score, total_assets, kyc_status, last_updated
+from {customers_raw}
+""",
+    "customers_nameless": """
+select cast(null as string) as customer_id, first_name, last_name, date_of_birth, ssn, email, phone_number,
+  address_line1, address_line2, city, state, zip_code, country, customer_since, segment,
+  credit_score, total_assets, kyc_status, last_updated
+from {customers_raw}
 """,
 }
 
@@ -86,6 +126,10 @@ READS = {
     "exchange_rates": ("nation",),
     "all_quotes": ("exchange_rates", "nation"),
     "customers_dirty": ("customers_raw",),
+    "customers_second": ("customers_raw",),
+    "customers_tied": ("customers_raw",),
+    "customers_nameless": ("customers_raw",),
+    "customers_bad": ("customers_raw", "customers_second", "customers_tied", "customers_nameless"),
 }
 
 
@@ -104,19 +148,15 @@ def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def oracle(select: str) -> str:
     """``select`` with the blocks as common table expressions before it."""
     names = {read: read for reads in READS.values() for read in reads}
-    blocks = [f"{name} AS ({text.format(**names)})" for name, text in BLOCKS.items()]
+    blocks = [f"{name} AS ({BLOCKS[name].format(**names)})" for name in READS]
     return f"WITH {', '.join(blocks)}\n{select}"
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder on the storage all executors share.
+def scratch(spark: SparkSession, name: str) -> str:
+    """The folder of one query on the storage all executors share, emptied.
 
-    Only a local session that names no such storage gets a folder of this
-    machine.
+    Writing an empty table over it removes what an earlier run left there.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="ledgerflow-")
-    return f"{shared.rstrip('/')}/{uuid4().hex}"
+    path = f"{shared_folder(spark)}/query-{name}"
+    spark.range(0).write.mode("overwrite").parquet(path)
+    return path

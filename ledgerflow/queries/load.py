@@ -7,15 +7,14 @@ from ledgerflow.plans.incremental import (
     changed_since, high_waters, read_watermark, update_watermark,
 )
 from ledgerflow.queries import account, customer
-from ledgerflow.queries.inputs import AS_OF, STAMP, derived, oracle, scratch, table
+from ledgerflow.queries.inputs import AS_OF, LATER, NEXT_DAY, STAMP, derived, oracle, scratch, table
 from ledgerflow.schemas import WATERMARK
-from ledgerflow.sources.lake import read_parquet
 
 SINCE = "2023-12-25"
 
 
-def _customers(spark, sf_dir):
-    return loads.customer_load(lambda: derived(spark, sf_dir, "customers_raw"), AS_OF)
+def _customers(spark, sf_dir, block="customers_raw"):
+    return loads.customer_load(lambda: derived(spark, sf_dir, block), AS_OF)
 
 
 def _accounts(spark, sf_dir):
@@ -33,59 +32,115 @@ def _transactions(spark, sf_dir):
     )
 
 
-def _load(spark, load):
-    base = scratch(spark)
+def _load(spark, name, load):
+    base = scratch(spark, name)
     loads.run_load(spark, load, base, STAMP)
-    return read_parquet(spark, base, load.path)
+    return loads.read_table(spark, base, load)
 
 
 def load_customers(spark, sf_dir):
-    return _load(spark, _customers(spark, sf_dir))
+    return _load(spark, "load_customers", _customers(spark, sf_dir))
 
 
 def load_accounts(spark, sf_dir):
-    return _load(spark, _accounts(spark, sf_dir))
+    return _load(spark, "load_accounts", _accounts(spark, sf_dir))
 
 
 def _load_transactions(spark, sf_dir):
-    return _load(spark, _transactions(spark, sf_dir))
+    return _load(spark, "load_transactions", _transactions(spark, sf_dir))
+
+
+def _two_batches(spark, sf_dir, name, second):
+    """A first batch, then one of the same source some time later, when rows have moved."""
+    base = scratch(spark, name)
+    loads.run_load(spark, _customers(spark, sf_dir), base, STAMP)
+    load = _customers(spark, sf_dir, "customers_second")
+    report = loads.run_load(spark, load, base, second)
+    return base, load, report
 
 
 def _load_twice(spark, sf_dir):
-    """A second batch on the same day, extracted from the mark of the first."""
-    base = scratch(spark)
-    load = _customers(spark, sf_dir)
-    loads.run_load(spark, load, base, STAMP)
-    loads.run_load(spark, load, base, STAMP)
-    return read_parquet(spark, base, load.path)
+    """A second batch on the same day with changed rows, seen as latest rows."""
+    base, load, _ = _two_batches(spark, sf_dir, "load_customers_twice", LATER)
+    return loads.current_rows(loads.read_table(spark, base, load), load.keys)
 
 
 def _current(spark, sf_dir):
     """Two ingestion days, the second one incremental, seen as latest rows."""
-    base = scratch(spark)
-    load = _customers(spark, sf_dir)
+    base, load, _ = _two_batches(spark, sf_dir, "customer_current", NEXT_DAY)
+    return loads.current_rows(loads.read_table(spark, base, load), load.keys)
+
+
+def _current_report(spark, sf_dir):
+    """The checks over the latest rows of two batches."""
+    base, load, _ = _two_batches(spark, sf_dir, "dq_current_report", LATER)
+    return loads.current_report(loads.read_table(spark, base, load), load, LATER)
+
+
+def _load_again(spark, sf_dir):
+    """A run repeated with its time stamp after the source changed: the second one holds."""
+    base = scratch(spark, "load_customers_again")
+    loads.run_load(spark, _customers(spark, sf_dir), base, STAMP)
+    load = _customers(spark, sf_dir, "customers_second")
     loads.run_load(spark, load, base, STAMP)
-    loads.run_load(spark, load, base, "2024-01-02 00:00:00")
-    table = read_parquet(spark, base, load.path)
-    return loads.current_rows(table, load.keys)
+    return loads.read_table(spark, base, load)
+
+
+def _bad(spark, sf_dir, name):
+    base = scratch(spark, name)
+    load = _customers(spark, sf_dir, "customers_bad")
+    return base, load, loads.run_load(spark, load, base, STAMP)
+
+
+def _load_rejected(spark, sf_dir):
+    """What a load of bad rows leaves out, as it keeps them."""
+    base, load, _ = _bad(spark, sf_dir, "load_customers_rejected")
+    return loads.read_rejected(spark, base, load.entity).drop("batch")
+
+
+COUNTS = ["row_count", "source_rows", "rejected_missing", "rejected_not_latest", "rejected_lossy", "duplicate_rows", "null_cells"]
+
+
+def _report_row(spark, report, columns):
+    """The numbers of a report, which a load returns to the driver, as one row."""
+    numbers = [F.lit(report[c]).cast("bigint").alias(c) for c in columns]
+    return spark.range(1).select(*numbers, F.lit(report["passed"]).alias("passed"))
+
+
+def _load_report(spark, sf_dir):
+    return _report_row(spark, _bad(spark, sf_dir, "load_report")[2], COUNTS)
+
+
+def _accounts_report(spark, sf_dir):
+    """Missing rates beside the counts of an account load."""
+    report = loads.run_load(spark, _accounts(spark, sf_dir), scratch(spark, "load_accounts_report"), STAMP)
+    return _report_row(spark, report, [*COUNTS, "missing_rates"])
+
+
+# What of each entity's rows the joint result shows.
+SHOWN = {
+    "customers": ("customer_id", "segment", "total_assets"),
+    "accounts": ("account_id", "currency_code", "usd_current_balance"),
+    "transactions": ("event_id", "event_type", "value"),
+}
 
 
 def _run_all(spark, sf_dir):
-    base = scratch(spark)
+    base = scratch(spark, "run_all_loads")
     every = [build(spark, sf_dir) for build in (_customers, _accounts, _transactions)]
     loads.run_all(spark, every, base, STAMP)
-    counts = [
-        read_parquet(spark, base, load.path)
-        .agg(F.count("*").alias("row_count"))
-        .select(F.lit(load.entity).alias("entity"), "row_count")
-        for load in every
+    rows = [
+        loads.read_table(spark, base, load).select(
+            F.lit(load.entity).alias("entity"), F.col(key).cast("string").alias("key"), F.col(kind).alias("kind"),
+            F.col(amount).cast("decimal(38,4)").alias("amount"), "ingestion_timestamp", "ingestion_date")
+        for load in every for key, kind, amount in [SHOWN[load.entity]]
     ]
-    return counts[0].union(counts[1]).union(counts[2])
+    return rows[0].union(rows[1]).union(rows[2])
 
 
 def _watermark_update(spark, sf_dir):
     """The table after one load of each entity, read back as a table."""
-    base = scratch(spark)
+    base = scratch(spark, "watermark_update")
     for build in (_customers, _accounts):
         loads.run_load(spark, build(spark, sf_dir), base, STAMP)
     return high_waters(spark.read.schema(WATERMARK).parquet(f"{base}/{loads.WATERMARKS}"))
@@ -93,7 +148,7 @@ def _watermark_update(spark, sf_dir):
 
 def _watermark_read(spark, sf_dir):
     """The rows at or after a mark that two updates, the later one older, left."""
-    path = f"{scratch(spark)}/watermarks"
+    path = f"""{scratch(spark, "watermark_read")}/watermarks"""
     for mark in (SINCE, "2023-12-05"):
         update_watermark(spark, path, "customers", mark, STAMP)
     mark = read_watermark(spark, path, "customers")
@@ -114,6 +169,31 @@ def _full(spark, sf_dir):
 DAY_SQL = f", DATE '{AS_OF}' AS ingestion_date "
 CUSTOMERS_SQL = customer.VIP_PROFILE_SQL.replace("FROM customers_raw", DAY_SQL + "FROM customers_raw")
 
+SECOND_SQL = CUSTOMERS_SQL.replace("FROM customers_raw", "FROM customers_second")
+
+
+def _second_batch_sql(stamp):
+    """The second batch holds the moved rows and those of the day of the first one's mark."""
+    return f"""SELECT * EXCLUDE (newest) REPLACE (
+  CASE WHEN last_updated >= newest THEN TIMESTAMP '{stamp}' ELSE ingestion_timestamp END AS ingestion_timestamp,
+  CASE WHEN last_updated >= newest THEN DATE '{stamp[:10]}' ELSE ingestion_date END AS ingestion_date)
+FROM ({SECOND_SQL}), (SELECT max(last_updated) AS newest FROM customers_raw)"""
+
+
+MARKED_SQL = """SELECT *, CASE WHEN customer_id IS NULL THEN 'missing_required'
+  WHEN row_number() OVER (PARTITION BY customer_id ORDER BY last_updated DESC, segment) > 1 THEN 'not_latest' END AS reason
+FROM customers_bad"""
+REJECTED_SQL = f"SELECT *, count(*) AS copies FROM ({MARKED_SQL}) WHERE reason IS NOT NULL GROUP BY ALL"
+REPORT_SQL = f"""SELECT count(*) FILTER (reason IS NULL) AS row_count, count(*) AS source_rows,
+  count(*) FILTER (reason = 'missing_required') AS rejected_missing, count(*) FILTER (reason = 'not_latest') AS rejected_not_latest,
+  CAST(0 AS BIGINT) AS rejected_lossy, CAST(0 AS BIGINT) AS duplicate_rows, CAST(0 AS BIGINT) AS null_cells, true AS passed
+FROM ({MARKED_SQL})"""
+ACCOUNTS_REPORT_SQL = """SELECT count(*) AS row_count, count(*) AS source_rows, CAST(0 AS BIGINT) AS rejected_missing,
+  CAST(0 AS BIGINT) AS rejected_not_latest, CAST(0 AS BIGINT) AS rejected_lossy, CAST(0 AS BIGINT) AS duplicate_rows,
+  CAST(0 AS BIGINT) AS null_cells, count(*) FILTER (currency_code <> 'USD' AND currency_code NOT IN (
+    SELECT from_currency FROM exchange_rates WHERE to_currency = 'USD')) AS missing_rates, true AS passed
+FROM accounts_raw"""
+
 QUERIES = {
     "watermark_read": (
         _watermark_read,
@@ -132,16 +212,17 @@ SELECT 'accounts', max(last_updated) FROM accounts_raw"""),
     ),
     "full_extract": (_full, oracle("SELECT * FROM customers_raw")),
     "load_customers": (load_customers, oracle(CUSTOMERS_SQL)),
-    "load_customers_twice": (_load_twice, oracle(CUSTOMERS_SQL)),
-    "customer_current": (
-        _current,
-        # The second day holds the boundary day of the mark only.
-        oracle(f"""SELECT * EXCLUDE (newest) REPLACE (
-  CASE WHEN last_updated = newest THEN TIMESTAMP '2024-01-02 00:00:00'
-    ELSE ingestion_timestamp END AS ingestion_timestamp,
-  CASE WHEN last_updated = newest THEN DATE '2024-01-02' ELSE ingestion_date END AS ingestion_date)
-FROM ({CUSTOMERS_SQL}), (SELECT max(last_updated) AS newest FROM customers_raw)"""),
+    "load_customers_twice": (_load_twice, oracle(_second_batch_sql(LATER))),
+    "load_customers_again": (_load_again, oracle(SECOND_SQL)),
+    "load_customers_rejected": (_load_rejected, oracle(REJECTED_SQL)),
+    "load_report": (_load_report, oracle(REPORT_SQL)),
+    "load_accounts_report": (_accounts_report, oracle(ACCOUNTS_REPORT_SQL)),
+    "dq_current_report": (
+        _current_report,
+        oracle(f"""SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS duplicate_rows, CAST(0 AS BIGINT) AS null_cells,
+  TIMESTAMP '{LATER}' AS latest, DATE '2024-01-01' AS high_water, true AS is_fresh, true AS passed FROM customers_second"""),
     ),
+    "customer_current": (_current, oracle(_second_batch_sql(NEXT_DAY))),
     "load_accounts": (
         load_accounts,
         oracle(account.PROFILE_SQL.replace(account.JOIN_SQL, DAY_SQL + account.JOIN_SQL)),
@@ -152,8 +233,10 @@ FROM ({CUSTOMERS_SQL}), (SELECT max(last_updated) AS newest FROM customers_raw)"
     ),
     "run_all_loads": (
         _run_all,
-        oracle("""SELECT 'customers' AS entity, count(*) AS row_count FROM customers_raw
-UNION ALL SELECT 'accounts', count(*) FROM accounts_raw
-UNION ALL SELECT 'transactions', count(*) FROM events"""),
+        oracle(f"""SELECT entity, key, kind, CAST(amount AS DECIMAL(38,4)) AS amount,
+  TIMESTAMP '{STAMP}' AS ingestion_timestamp, DATE '{AS_OF}' AS ingestion_date FROM (
+SELECT 'customers' AS entity, customer_id AS key, segment AS kind, CAST(total_assets AS DECIMAL(38,4)) AS amount FROM customers_raw
+UNION ALL SELECT 'accounts', account_id, currency_code, usd_current_balance FROM ({account.PROFILE_SQL})
+UNION ALL SELECT 'transactions', CAST(event_id AS VARCHAR), event_type, value FROM events)"""),
     ),
 }

@@ -1,6 +1,6 @@
 """Scans and sinks, over whole tables.
 
-Each sink writes to a new folder of the shared storage and reads it back. The
+Each sink writes to its folder of the shared storage and reads it back. The
 database scans need a database and are not registered; the SQL text they send
 is run here by Spark over the given tables instead.
 """
@@ -11,10 +11,8 @@ from pyspark.sql import functions as F
 
 from ledgerflow.queries.inputs import derived, oracle, scratch, table
 from ledgerflow.sinks.lake import write_parquet
-from ledgerflow.sinks.warehouse import write_warehouse_table
 from ledgerflow.sources.jdbc import bounds_query, modulo_predicates, subquery
 from ledgerflow.sources.lake import read_parquet
-from ledgerflow.sources.warehouse import read_warehouse_table
 
 PARTS = 10
 
@@ -23,11 +21,6 @@ def _scan_parquet(spark, sf_dir):
     return read_parquet(spark, sf_dir, "orders.parquet")
 
 
-def _scan_warehouse_table(spark, sf_dir):
-    options = {"path": f"{sf_dir}/orders.parquet"}
-    return read_warehouse_table(spark, options, "orders", fmt="parquet")
-
-
 def _jdbc_bounds(spark, sf_dir):
     return spark.sql(bounds_query("{t}", "o_orderdate"), t=table(spark, sf_dir, "orders"))
 
@@ -50,20 +43,20 @@ def _jdbc_predicates(spark, sf_dir):
 
 
 def _roundtrip(spark, sf_dir):
-    base = scratch(spark)
+    base = scratch(spark, "roundtrip")
     write_parquet(derived(spark, sf_dir, "accounts_raw"), base, "accounts")
     return read_parquet(spark, base, "accounts")
 
 
 def _partitioned(spark, sf_dir):
-    base = scratch(spark)
+    base = scratch(spark, "partitioned")
     customers = derived(spark, sf_dir, "customers_raw")
     write_parquet(customers, base, "customers", partition_by=["last_updated"])
     return read_parquet(spark, base, "customers").select(*customers.columns)
 
 
 def _append(spark, sf_dir):
-    base = scratch(spark)
+    base = scratch(spark, "append")
     for _ in range(2):
         write_parquet(derived(spark, sf_dir, "customers_raw"), base, "customers", mode="append")
     return read_parquet(spark, base, "customers")
@@ -71,7 +64,7 @@ def _append(spark, sf_dir):
 
 def _overwrite_dynamic(spark, sf_dir):
     """The days from 2023-12-25 are published again as moved customers."""
-    base = scratch(spark)
+    base = scratch(spark, "overwrite_dynamic")
     customers = derived(spark, sf_dir, "customers_raw")
     late = customers.filter("last_updated >= DATE '2023-12-25'").withColumn("city", F.lit("MOVED"))
     write_parquet(customers, base, "customers", ["last_updated"])
@@ -79,17 +72,8 @@ def _overwrite_dynamic(spark, sf_dir):
     return read_parquet(spark, base, "customers").select(*customers.columns)
 
 
-def _warehouse_append(spark, sf_dir):
-    options = {"path": scratch(spark)}
-    accounts = derived(spark, sf_dir, "accounts_raw")
-    for _ in range(2):
-        write_warehouse_table(accounts, options, "accounts", fmt="parquet")
-    return read_warehouse_table(spark, options, "accounts", fmt="parquet")
-
-
 QUERIES = {
     "scan_parquet": (_scan_parquet, "SELECT * FROM orders"),
-    "scan_warehouse_table": (_scan_warehouse_table, "SELECT * FROM orders"),
     "jdbc_bounds": (
         _jdbc_bounds,
         "SELECT min(o_orderdate) AS min_val, max(o_orderdate) AS max_val FROM orders",
@@ -114,8 +98,4 @@ QUERIES = {
         oracle("""SELECT * REPLACE (CASE WHEN last_updated >= DATE '2023-12-25'
   THEN 'MOVED' ELSE city END AS city) FROM customers_raw"""),
     ),
-    "sink_warehouse_append": (
-        _warehouse_append,
-        oracle("SELECT * FROM accounts_raw UNION ALL SELECT * FROM accounts_raw"),
-    ),
 }

@@ -7,39 +7,77 @@ A reader can never promise "not null", so nullability is checked as data (see
 from pyspark.sql.types import StructType
 
 
-def _schema(columns: str) -> StructType:
-    """From alternating names and types; unlike a DDL text it needs no session."""
-    words = columns.split()
-    schema = StructType()
-    for name, kind in zip(words[::2], words[1::2]):
-        schema.add(name, kind)
-    return schema
-
-
 # The input contract of the customer transform.
-CUSTOMER = _schema("""
-    customer_id string first_name string last_name string date_of_birth date
-    ssn string email string phone_number string address_line1 string
-    address_line2 string city string state string zip_code string
-    country string customer_since date segment string
-    credit_score decimal(5,0) total_assets decimal(15,2) kyc_status string
-    last_updated date
-""")
+CUSTOMER = (
+    StructType()
+    .add("customer_id", "string")
+    .add("first_name", "string")
+    .add("last_name", "string")
+    .add("date_of_birth", "date")
+    .add("ssn", "string")
+    .add("email", "string")
+    .add("phone_number", "string")
+    .add("address_line1", "string")
+    .add("address_line2", "string")
+    .add("city", "string")
+    .add("state", "string")
+    .add("zip_code", "string")
+    .add("country", "string")
+    .add("customer_since", "date")
+    .add("segment", "string")
+    .add("credit_score", "decimal(5,0)")
+    .add("total_assets", "decimal(15,2)")
+    .add("kyc_status", "string")
+    .add("last_updated", "date")
+)
 
 # The input contract of the account transform.
-ACCOUNT = _schema("""
-    account_id string customer_id string account_type string
-    account_subtype string open_date date close_date date status string
-    currency_code string current_balance decimal(20,4)
-    available_balance decimal(20,4) hold_balance decimal(20,4)
-    interest_rate decimal(10,4) overdraft_limit decimal(15,2)
-    last_activity_date date branch_id string primary_holder string
-    secondary_holders string account_manager string last_updated timestamp
-""")
+ACCOUNT = (
+    StructType()
+    .add("account_id", "string")
+    .add("customer_id", "string")
+    .add("account_type", "string")
+    .add("account_subtype", "string")
+    .add("open_date", "date")
+    .add("close_date", "date")
+    .add("status", "string")
+    .add("currency_code", "string")
+    .add("current_balance", "decimal(20,4)")
+    .add("available_balance", "decimal(20,4)")
+    .add("hold_balance", "decimal(20,4)")
+    .add("interest_rate", "decimal(10,4)")
+    .add("overdraft_limit", "decimal(15,2)")
+    .add("last_activity_date", "date")
+    .add("branch_id", "string")
+    .add("primary_holder", "string")
+    .add("secondary_holders", "string")
+    .add("account_manager", "string")
+    .add("last_updated", "timestamp")
+)
 
-EXCHANGE_RATE = _schema("from_currency string to_currency string exchange_rate decimal(18,8)")
+# The input contract of the currency join.
+EXCHANGE_RATE = (
+    StructType()
+    .add("from_currency", "string")
+    .add("to_currency", "string")
+    .add("exchange_rate", "decimal(18,8)")
+)
 
-WATERMARK = _schema("entity string high_water timestamp updated_at timestamp")
+# High-water marks; a row with a batch is the commit of a run.
+WATERMARK = (
+    StructType()
+    .add("entity", "string")
+    .add("high_water", "timestamp")
+    .add("updated_at", "timestamp")
+    .add("batch", "string")
+    .add("attempt", "long")
+    .add("folder", "string")
+    .add("source_rows", "long")
+    .add("row_count", "long")
+    .add("rejected_missing", "long")
+    .add("rejected_not_latest", "long")
+    .add("rejected_lossy", "long")
+)
 
 CUSTOMER_KEYS = ["customer_id"]
 CUSTOMER_REQUIRED = ["customer_id"]

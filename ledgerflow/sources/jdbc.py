@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
+# The required settings and the default number of range partitions.
 REQUIRED = ("host", "port", "service_name", "username", "password")
 DEFAULT_PARTITIONS = 10
 

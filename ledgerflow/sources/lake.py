@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The settings that must be given.
 REQUIRED = ("s3_bucket", "aws_access_key_id", "aws_secret_access_key")
 
 

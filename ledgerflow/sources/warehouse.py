@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
+# Fixed value: the name of the connector.
 SNOWFLAKE = "net.snowflake.spark.snowflake"
+# The settings that must be given.
 REQUIRED = ("account", "username", "password", "database", "schema", "warehouse")
 
 

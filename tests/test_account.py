@@ -152,7 +152,7 @@ def test_small_quotes_are_broadcast_and_large_ones_salted(spark):
     assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
     assert large.count() == 60 * 2 + 30
 
-    assert set(hot_currencies(frame, 8)) == {("EUR", 6), ("JPY", 3)}
+    assert hot(frame, 8) == {"EUR": 6, "JPY": 3}
 
     unquoted = missing_rates(frame, quotes, limit=0)
     assert unquoted.count() == missing_rates(frame, quotes).count() == 30
@@ -164,10 +164,10 @@ def test_salted_join_keeps_cold_and_null_currencies(spark):
         F.when(F.col("id") % 3 == 0, "EUR").when(F.col("id") % 3 == 1, F.concat(F.lit("Q"), F.col("id"))).alias("currency_code"),
     )
     quotes = rates(spark, [*RATES, ("Q1", "USD", Decimal(2)), ("Q4", "USD", Decimal(3))])
-    assert [c for c, _ in hot_currencies(frame, 8)] == ["EUR"]
-    assert hot_currencies(frame.filter("currency_code = 'EUR'"), 8) == [("EUR", 8)]
-    assert hot_currencies(frame.filter("currency_code IS NULL"), 8) == []
-    assert hot_currencies(frame.filter("false"), 8) == []
+    assert list(hot(frame, 8)) == ["EUR"]
+    assert hot(frame.filter("currency_code = 'EUR'"), 8) == {"EUR": 8}
+    assert hot(frame.filter("currency_code IS NULL"), 8) == {}
+    assert hot(frame.filter("false"), 8) == {}
     assert join_rates(frame.filter("false"), quotes, limit=0).count() == 0
     large, small = (join_rates(frame, quotes, limit=limit) for limit in (0, 10**6))
     assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
@@ -175,6 +175,43 @@ def test_salted_join_keeps_cold_and_null_currencies(spark):
     assert large.filter("exchange_rate is not null").count() == 1334 + 2
 
 
+def hot(frame, parts):
+    return {r._hot: r._salts for r in hot_currencies(frame, parts).collect()}
+
+
+def test_hot_is_above_one_partition_share(spark):
+    """More hot currencies than a fixed number: 1500 of 100,000 equal shares."""
+    frame = spark.range(30_000).select(
+        F.concat(F.lit("C"), F.col("id") % 1500).alias("currency_code"), F.col("id").cast("string").alias("account_id"))
+    found = hot(frame, 40_000)
+    assert len(found) == 1500 and set(found.values()) == {27}
+    assert hot(frame, 1500) == {}
+
+
+def test_sixty_four_partitions_share_the_hot_rows(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        frame = spark.range(64_000).select(
+            F.col("id").cast("string").alias("account_id"),
+            F.when(F.col("id") % 2 == 0, "EUR").otherwise(F.concat(F.lit("C"), F.col("id") % 32)).alias("currency_code"))
+        quotes = rates(spark, [("EUR", "USD", Decimal(2)), *((f"C{k}", "USD", Decimal(k)) for k in range(1, 32, 2))])
+        joined = join_rates(frame, quotes, limit=0)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 64_000 and max(sizes) < 6_000  # EUR alone has 32,000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_nested_values_are_measured(spark):
+    long, short = (spark.range(1).select(F.sequence(F.lit(1), F.lit(n)).alias("a")) for n in (100_000, 1))
+    assert broadcast_bytes(long) > 800_000 > broadcast_bytes(short)
+    assert broadcast_bytes(spark.range(1).select(F.struct(F.repeat(F.lit("x"), 5000).alias("t")).alias("s"))) > 5000
+
+
 def test_broadcast_estimate_grows_with_the_quotes(spark):
     one, two = (broadcast_bytes(rates(spark, RATES[:n])) for n in (1, 2))
     assert 0 < one < two
