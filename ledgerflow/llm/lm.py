@@ -26,11 +26,12 @@ END, START = np.uint64(0x1D8E4E27C47D124F), np.uint64(0x5851F42D4C957F2D)  # tok
 STEP = 1.5  # ratio of two levels' counts
 LEVELS = 80
 PAIR_FROM = 2  # least count of a pair in the filter
-PROBES, BITS_AN_ENTRY = 6, 12
+PROBES, BITS_AN_ENTRY = 4, 16
 MOST_FILTER_BYTES = 256 << 20
 MOST_FREQUENT = 1 << 20  # words whose exact counts are broadcast
 DISCOUNT = 0.5
 TOKENS_A_RANGE = 1 << 20
+ROWS_A_PART = 1 << 14
 TOKENS_HELD = 1 << 21  # tokens that a task counts before it sends
 
 
@@ -124,26 +125,31 @@ def _merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 
 
 class Filter:
-    """A Bloom filter in equal segments, one for each range of hashes."""
+    """A Bloom filter in equal segments, one for each range of hashes.
 
-    def __init__(self, bits: int, segment_bytes: int, least: dict[str, int]):
-        self.bits, self.segment_bits, self.least = bits, segment_bytes * 8, least
-        self.bytes = np.zeros(0, dtype=np.uint8)
+    All bits of an entry lie in one 64-bit word, so a probe reads memory once.
+    """
+
+    def __init__(self, bits: int, segment_words: int, least: dict[str, int]):
+        self.bits, self.segment_words, self.least = bits, segment_words, least
+        self.words = np.zeros(0, dtype=np.uint64)
 
-    def places(self, hashes: np.ndarray, level) -> np.ndarray:
-        """The bits of entries (hash, level) within their segments, PROBES of each."""
-        a = mix(hashes + np.uint64(0xA0761D6478BD642F) * np.asarray(level, dtype=np.uint64))
-        b = mix(a) | np.uint64(1)
-        return (a[:, None] + b[:, None] * np.arange(PROBES, dtype=np.uint64)[None, :]) % np.uint64(self.segment_bits)
+    def places(self, hashes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """The word within its segment, and the bits there, of each entry (hash, level)."""
+        a = mix(hashes + np.uint64(0xA0761D6478BD642F * level & (1 << 64) - 1))
+        word, mask = ((a >> np.uint64(32)) * np.uint64(self.segment_words)) >> np.uint64(32), np.zeros_like(a)
+        for probe in range(PROBES):
+            mask |= np.uint64(1) << ((a >> np.uint64(6 * probe)) & np.uint64(63))
+        return word, mask
 
     def levels(self, hashes: np.ndarray, first: int) -> np.ndarray:
         """The level of each hash by repeated probes, 0 where even the least is missing."""
         out = np.zeros(len(hashes), dtype=np.int64)
-        base = _ranges(hashes, self.bits) * self.segment_bits
+        base = _ranges(hashes, self.bits).astype(np.uint64) * np.uint64(self.segment_words)
         left = np.arange(len(hashes))
         for level in range(first, LEVELS):
-            at = base[left, None] + self.places(hashes[left], level).astype(np.int64)
-            left = left[((self.bytes[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)]
+            word, mask = self.places(hashes[left], level)
+            left = left[(self.words[base[left] + word] & mask) == mask]
             if not len(left):
                 break
             out[left] = level
@@ -159,20 +165,22 @@ def pair_entries(tails: np.ndarray, number, bits: int) -> np.ndarray:
 
 def _fill(empty: Filter, pair_bits: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        segment = np.zeros(empty.segment_bits, dtype=bool)
+        segment = np.zeros(empty.segment_words, dtype=np.uint64)
         for kind, number, keys, counts in zip(*(table[c].to_pylist() for c in ("kind", "range", "keys", "counts")), strict=True):
             pair = kind == "pair"
             hashes = pair_entries(np.frombuffer(keys, np.uint32), number, pair_bits) if pair else np.frombuffer(keys, np.uint64)
             own = levels_of(np.frombuffer(counts, np.int64), PAIR_FROM if pair else 1)
             for level in range(empty.least[kind], int(own.max(initial=0)) + 1):
-                segment[empty.places(hashes[own >= level], level).ravel()] = True
-        return pa.table({"segment": [key[0].as_py()], "bits": pa.array([np.packbits(segment, bitorder="little").tobytes()], pa.binary())})
+                np.bitwise_or.at(segment, *empty.places(hashes[own >= level], level))
+        return pa.table({"segment": [key[0].as_py()], "bits": pa.array([segment.tobytes()], pa.binary())})
     return run
 
 
-def _lookup(model: dict, tokens: np.ndarray, before: np.ndarray):
-    """Levels of each token, of the word before it, and of both together."""
-    words, back = np.unique(tokens, return_inverse=True)
+def _lookup(model: dict, tokens: np.ndarray, before: np.ndarray, words: np.ndarray, back: np.ndarray):
+    """Levels of each token, of the word before it, and of both together.
+
+    ``words`` are the distinct tokens, ``back`` the place of each token among them.
+    """
     of_words = model["filter"].levels(words, model["filter"].least["word"])
     of_token = of_words[back]
     of_before = np.empty_like(of_token)
@@ -188,6 +196,15 @@ def _lookup(model: dict, tokens: np.ndarray, before: np.ndarray):
     return of_token, of_before, of_pair
 
 
+def _known(model: dict, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a word is among the most frequent, and the logarithm of its count plus one."""
+    if not len(model["keys"]):
+        return np.zeros(len(words), dtype=bool), np.zeros(len(words))
+    at = np.minimum(np.searchsorted(model["keys"], words), len(model["keys"]) - 1)
+    exact = model["keys"][at] == words
+    return exact, np.where(exact, np.log10(model["counts"][at] + 1.0), 0.0)
+
+
 def _measure(shared):
     """For each level of the context: tokens, and the share of them that the filter's pairs predict."""
     def run(batches):
@@ -195,7 +212,7 @@ def _measure(shared):
         for batch in batches:
             for part in slices(batch):
                 tokens, before, _ = tokens_of(part.column("text"))
-                _, of_before, of_pair = _lookup(shared.value, tokens, before)
+                _, of_before, of_pair = _lookup(shared.value, tokens, before, *np.unique(tokens, return_inverse=True))
                 all_ += np.bincount(of_before, minlength=LEVELS)
                 paired += np.bincount(of_before, of_pair > 0, minlength=LEVELS)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(LEVELS)), pa.array(all_), pa.array(paired)], names=["level", "tokens", "paired"])
@@ -230,14 +247,13 @@ def _score(shared, word_bits: int, id_type: pa.DataType):
                 tokens, before, starts = tokens_of(part.column("text"))
                 n = part.num_rows
                 owner = np.repeat(np.arange(n), np.diff(starts))
-                of_token, of_before, of_pair = _lookup(model, tokens, before)
+                words, back = np.unique(tokens, return_inverse=True)
+                of_token, of_before, of_pair = _lookup(model, tokens, before, words, back)
+                exact, logs = _known(model, words)
+                exact, base = exact[back], (logs - np.log10(model["denominator"]))[back]
                 context = np.where(before == START, model["starts"], count[of_before])
                 paired = np.minimum(1.0, pair_count[of_pair] / np.maximum(np.maximum(context, pair_count[of_pair]), 1))
                 p = DISCOUNT * paired + model["rest"][of_before] * (count[of_token] + 1) / model["denominator"]
-                at = np.minimum(np.searchsorted(model["keys"], tokens), max(0, len(model["keys"]) - 1))
-                exact = model["keys"][at] == tokens if len(model["keys"]) else np.zeros(len(tokens), dtype=bool)
-                c = np.where(exact, model["counts"][at] if len(model["keys"]) else 0, 0)
-                base = np.log10(c + 1.0) - np.log10(model["denominator"])
                 if not model["complete"]:
                     rows = part.column("row").to_numpy()
                     left["rows"].append(rows[owner[~exact]])
@@ -254,16 +270,37 @@ def _score(shared, word_bits: int, id_type: pa.DataType):
     return run
 
 
-def _exact(key: tuple[pa.Scalar, ...], asked: pa.Table, known: pa.Table) -> pa.Table:
-    """For each row the summed logarithms and the number of its words in one range that training has."""
-    rows, keys = _joined(asked["rows"], np.int64), _joined(asked["keys"], np.uint64)
-    have, counts = _joined(known["keys"], np.uint64), _joined(known["counts"], np.int64)
-    if not len(have) or not len(rows):
-        return pa.table({"row": pa.array([], pa.int64()), "more": pa.array([], pa.float64()), "known": pa.array([], pa.int64())})
-    at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
-    found = have[at] == keys
-    own, back = np.unique(rows[found], return_inverse=True)
-    return pa.table({"row": own, "more": np.bincount(back, np.log10(counts[at[found]] + 1.0), minlength=len(own)), "known": np.bincount(back, minlength=len(own))})
+SUMS = "part long, rows binary, more binary, known binary"
+
+
+def _exact(row_bits: int):
+    def run(key: tuple[pa.Scalar, ...], asked: pa.Table, known: pa.Table) -> pa.Table:
+        """For each row the summed logarithms and the number of its words in one range that
+        training has, as arrays for each of several parts of the rows."""
+        rows, keys = _joined(asked["rows"], np.int64), _joined(asked["keys"], np.uint64)
+        have, counts = _joined(known["keys"], np.uint64), _joined(known["counts"], np.int64)
+        found = np.zeros(len(keys), dtype=bool)
+        if len(have):
+            at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
+            found = have[at] == keys
+        own, back = np.unique(rows[found], return_inverse=True)
+        more = np.bincount(back, np.log10(counts[at[found]] + 1.0), minlength=len(own)) if len(own) else np.zeros(0)
+        part = _ranges(mix(own.view(np.uint64)), row_bits)
+        order = np.argsort(part, kind="stable")
+        own, more, times = own[order], more[order], np.bincount(back, minlength=len(own))[order]
+        ends = np.searchsorted(part[order], np.arange((1 << row_bits) + 1))
+        cut = [(k, ends[k], ends[k + 1]) for k in range(1 << row_bits) if ends[k] < ends[k + 1]]
+        arrays = [pa.array([x[a:b].tobytes() for _, a, b in cut], pa.binary()) for x in (own, more, times.astype(np.int64))]
+        return pa.Table.from_arrays([pa.array([k for k, _, _ in cut], pa.int64()), *arrays], names=["part", "rows", "more", "known"])
+    return run
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """The sums of each row over all ranges."""
+    rows, back = np.unique(_joined(table["rows"], np.int64), return_inverse=True)
+    return pa.table({
+        "row": rows, "more": np.bincount(back, _joined(table["more"], np.float64), minlength=len(rows)),
+        "known": np.bincount(back, _joined(table["known"], np.int64), minlength=len(rows)).astype(np.int64)})
 
 
 def _bits(n: float, least: int = 3) -> int:
@@ -291,14 +328,13 @@ def build(counts: DataFrame, word_bits: int, pair_bits: int, most_bytes: int, mo
     while entries() * BITS_AN_ENTRY > most_bytes * 8:
         most = max(least, key=lambda k: above[k][least[k]])
         least[most] += 1
-    segment_bytes = max(64, -(-entries() * BITS_AN_ENTRY // 8 >> word_bits))
-    segment_bytes += -segment_bytes % 8
-    filled = Filter(word_bits, segment_bytes, least)
+    segment_words = max(8, -(-entries() * BITS_AN_ENTRY // 64 >> word_bits))
+    filled = Filter(word_bits, segment_words, least)
     segment = F.when(F.col("kind") == "word", F.col("range")).otherwise(F.floor(F.col("range") / (1 << (pair_bits - word_bits)))).cast("long")
     built = counts.select(segment.alias("segment"), "kind", "range", "keys", "counts").groupBy("segment").applyInArrow(_fill(filled, pair_bits), "segment long, bits binary").toArrow()
-    filled.bytes = np.zeros(segment_bytes << word_bits, dtype=np.uint8)
+    filled.words = np.zeros(segment_words << word_bits, dtype=np.uint64)
     for number, bits in zip(built["segment"].to_pylist(), built["bits"].to_pylist(), strict=True):
-        filled.bytes[number * segment_bytes:(number + 1) * segment_bytes] = np.frombuffer(bits, np.uint8)
+        filled.words[number * segment_words:(number + 1) * segment_words] = np.frombuffer(bits, np.uint64)
     from_level = next(q for q in range(1, LEVELS) if above["word"][q] <= most_frequent)
     keys, exact = _frequent(counts, from_level)
     return {
@@ -356,8 +392,9 @@ def score(
     if not model["complete"]:
         asked = found.where("n_tokens is null").select("range", "rows", "keys")
         known = counts.where("kind = 'word'").select("range", "keys", "counts")
-        more = asked.groupBy("range").cogroup(known.groupBy("range")).applyInArrow(_exact, "row long, more double, known long")
-        more = more.groupBy("row").agg(F.sum("more").alias("more"), F.sum("known").alias("known"))
+        row_bits = _bits((facts["texts"] or 0) / ROWS_A_PART)
+        more = asked.groupBy("range").cogroup(known.groupBy("range")).applyInArrow(_exact(row_bits), SUMS)
+        more = more.groupBy("part").applyInArrow(_summed, "row long, more double, known long")
         scored = scored.join(more, "row", "left").withColumns({
             "base": F.col("base") + F.coalesce("more", F.lit(0.0)), "n_known": F.col("n_known") + F.coalesce("known", F.lit(0))})
     return scored.select("row", "doc_id", "held_out", "n_tokens", "n_known", F.lit(model["n"]).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
