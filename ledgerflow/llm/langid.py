@@ -10,9 +10,9 @@ level is the score that all but a given share of its right answers reach.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ledgerflow.llm.store import small_batches
+from ledgerflow.llm.store import bounded_sample, small_batches
 from ledgerflow.llm.words import IS_MARK, LOWER, WINDOW, flat, slices
 
 SIZES = (2, 3, 4)
@@ -113,8 +113,7 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     if not langs:
         return [], None
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= most_sampled // len(langs)).drop("place")
+    chosen = bounded_sample(rows.select("doc_id", "lang"), "lang", "doc_id", most_sampled // len(langs))
     kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in ("doc_id", "lang"))
     texts = rows.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"]).select("doc_id", "lang", "text")
     found = texts.mapInArrow(_sampled, f"{kinds}, codes array<int>, shares array<float>").dropDuplicates(["doc_id", "lang"])

@@ -11,9 +11,9 @@ of the three groups has length one whatever the text's length.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ledgerflow.llm.store import small_batches
+from ledgerflow.llm.store import bounded_sample, small_batches
 from ledgerflow.llm.words import IS_MARK, IS_SPACE, flat, mix, slices, word_bounds, word_hashes
 
 BITS = 18  # of a hashed feature
@@ -154,8 +154,7 @@ def fit_ratings(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", tex
     small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rated = ratings.select(F.col("doc_id"), F.col("grade").cast("int").alias("grade")).where(F.col("doc_id").isNotNull() & F.col("grade").between(0, n_grades - 1))
-    order = Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rated.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most_rated).drop("place")
+    chosen = bounded_sample(rated, "grade", "doc_id", most_rated)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
     rows = texts.mapInArrow(_rows_of_features("grade"), f"doc_id {kind}, grade int, numbers array<int>, values array<float>").dropDuplicates(["doc_id", "grade"])
     table = rows.sort("doc_id", "grade").toArrow().combine_chunks()

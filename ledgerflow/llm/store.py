@@ -8,7 +8,7 @@ of this machine.
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 1000
@@ -46,6 +46,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows of each of a few groups: those whose keys have the smallest hashes.
+
+    Groups are counted first, and only about as many rows as are wanted are ranked.
+    """
+    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 40)) / float(1 << 40)
+    near = rows.join(F.broadcast(counts), group).where(place * F.col("_n") < 1.2 * most + 20).drop("_n")
+    order = Window.partitionBy(group).orderBy(F.xxhash64(key), key)
+    return near.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= most).drop("_place")
+
+
 def checked_broadcast(keys: DataFrame) -> DataFrame:
     """``keys`` (narrow rows of a written table) marked for broadcast where few enough."""
     if keys.limit(MOST_BROADCAST_KEYS + 1).count() <= MOST_BROADCAST_KEYS:
