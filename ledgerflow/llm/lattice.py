@@ -25,6 +25,7 @@ from ledgerflow.llm.words import mix
 
 TABLES, PROBES, SCALE = 4, 6, 0.6  # a pair with a cosine of 0.9 is found with probability 0.996, one of 0.95 with 0.99999
 BLOCK = 1024  # vectors of a bucket that are compared with as many at a time
+STORED, ASKING, OWN = 1, 2, 4  # roles of a row in a block; OWN: the bucket is the vector's own cell
 SKETCHED = 4096  # vectors whose cells are found at a time
 
 # The 240 shortest vectors of the lattice: from a cell to its nearest neighbours.
@@ -114,21 +115,22 @@ def _canonical(bucket: int, a: np.ndarray, b: np.ndarray, own_cells: np.ndarray)
     return first == bucket
 
 
-def linked(bucket: int, heads: np.ndarray, copies: np.ndarray, stored: np.ndarray, asking: np.ndarray, x: np.ndarray, least: float, settings: tuple):
+def linked(bucket: int, heads: np.ndarray, copies: np.ndarray, stored: np.ndarray, asking: np.ndarray, own: np.ndarray, x: np.ndarray, least: float, settings: tuple):
     """Rows with links in one block of a bucket: heads, copies of linked vectors that count here, smallest connected head."""
     left, right = np.flatnonzero(stored), np.flatnonzero(asking)
     i, j = np.nonzero(x[left] @ x[right].T >= least)
     i, j = left[i], right[j]
-    different = heads[i] != heads[j]
-    i, j = i[different], j[different]
+    # Of two stored vectors, which ask for each other, the one with the smaller head is asked.
+    once = np.where(own[j], heads[i] < heads[j], heads[i] != heads[j])
+    i, j = i[once], j[once]
     if not len(i):
         return None
-    own, back = np.unique(np.concatenate([i, j]), return_inverse=True)
+    here, back = np.unique(np.concatenate([i, j]), return_inverse=True)
     i, j = back[:len(i)], back[len(i):]
     # A head may be here as a stored and as an asking row.
-    names, number = np.unique(heads[own], return_inverse=True)
+    names, number = np.unique(heads[here], return_inverse=True)
     example = np.zeros(len(names), dtype=np.int64)
-    example[number] = own
+    example[number] = here
     i, j = number[i], number[j]
     pairs = np.unique(np.minimum(i, j) * len(names) + np.maximum(i, j))
     i, j = pairs // len(names), pairs % len(names)
@@ -151,8 +153,9 @@ def _verify(least: float, settings: tuple):
         for size in np.unique(sizes):
             mine = sizes == size
             part = table.filter(pa.array(mine)) if not mine.all() else table
-            x, own = matrix(part["embedding"].combine_chunks()), role[mine]
-            found = linked(part["bucket"][0].as_py(), part["head"].to_numpy(), part["copies"].to_numpy(), (own & 1) > 0, (own & 2) > 0, x, least, settings)
+            x, roles = matrix(part["embedding"].combine_chunks()), role[mine]
+            stored, asking, own = ((roles & bit) > 0 for bit in (STORED, ASKING, OWN))
+            found = linked(part["bucket"][0].as_py(), part["head"].to_numpy(), part["copies"].to_numpy(), stored, asking, own, x, least, settings)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["head", "links", "least"])
 
@@ -201,11 +204,10 @@ def near_vectors(
     entries = entries.join(checked_broadcast(large), "bucket", "left")
     across, down = (F.greatest(F.lit(1), F.ceil(F.coalesce(c, F.lit(1)) / block)).cast("int") for c in ("stored", "entries"))
     mine = lambda n: F.pmod(F.xxhash64("head"), n).cast("int")
-    # Role 1 is stored here, role 2 asks, role 3 does both.
-    alone = entries.where("entries is null").select("bucket", F.lit(0).alias("i"), F.lit(0).alias("j"), F.when(F.col("own"), 3).otherwise(2).alias("role"), "head", "copies", "embedding")
+    alone = entries.where("entries is null").select("bucket", F.lit(0).alias("i"), F.lit(0).alias("j"), F.when(F.col("own"), STORED | ASKING | OWN).otherwise(ASKING).alias("role"), "head", "copies", "embedding")
     split = entries.where("entries is not null")
-    stored = split.where("own").select("bucket", mine(across).alias("i"), F.explode(F.sequence(F.lit(0), down - 1)).alias("j"), F.lit(1).alias("role"), "head", "copies", "embedding")
-    asking = split.select("bucket", F.explode(F.sequence(F.lit(0), across - 1)).alias("i"), mine(down).alias("j"), F.lit(2).alias("role"), "head", "copies", "embedding")
+    stored = split.where("own").select("bucket", mine(across).alias("i"), F.explode(F.sequence(F.lit(0), down - 1)).alias("j"), F.lit(STORED).alias("role"), "head", "copies", "embedding")
+    asking = split.select("bucket", F.explode(F.sequence(F.lit(0), across - 1)).alias("i"), mine(down).alias("j"), F.when(F.col("own"), ASKING | OWN).otherwise(ASKING).alias("role"), "head", "copies", "embedding")
     blocks = alone.union(stored).union(asking).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     found = written(blocks.mapInArrow(_verify(least, settings), "head long, links long, least long"), "found")
 
