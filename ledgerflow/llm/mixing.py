@@ -1,10 +1,11 @@
 """Mixing to target weights by iterative proportional fitting, in DataFrame functions only.
 
 Token weights of the cells source x language x topic are raked to the target shares of
-each of the three marginals in turn, until all hold. A cell's ratio of fitted to
-natural weight, over the largest such ratio, is the probability with which its
-documents are kept: the largest sample that has the target shares in expectation
-without repeating a document. A document's draw depends on its id alone.
+each of the three marginals in turn, until all hold. A document is kept with a
+probability in proportion to its cell's ratio of fitted to natural weight, calibrated
+so that a given share of all tokens is kept. Documents aren't repeated: a cell that
+would have to give more than it has is kept whole, and the others make up for it.
+A document's draw depends on its id alone.
 
 Values without a target of their own form one group that keeps its natural share, so
 the number of cells is bounded by the targets given, whatever the corpus holds.
@@ -18,6 +19,7 @@ from ledgerflow.llm.store import written
 
 OTHER = "(other)"
 ROUNDS = 10
+KEPT = 0.75  # share of all tokens in the sample
 ROUNDS_A_TABLE = 5  # the plan of so many rounds is run before the next is built on its result
 MOST_CELLS = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,11 +50,30 @@ def with_share(cells: DataFrame, name: str, targets: dict[str, float]) -> DataFr
     first = F.row_number().over(Window.partitionBy(name).orderBy(*CELL)) == 1  # each value's target counts once
     cells = cells.withColumns({"_target": target, "_rest": rest, "_first": first})
     given = F.sum(F.when(F.col("_first"), F.col("_target"))).over(everything)
-    share = F.when(F.col(name) == OTHER, F.col("_rest")).otherwise(F.col("_target") / given * (1 - F.col("_rest")))
+    share = F.when(F.col(name) == OTHER, F.col("_rest")).otherwise(F.try_divide("_target", given) * (1 - F.col("_rest")))
     return cells.withColumn(f"{name}_share", share).drop("_target", "_rest", "_first")
 
 
-def fitted_cells(tokens: DataFrame, targets: dict[str, dict[str, float]], rounds: int = ROUNDS) -> DataFrame:
+def calibrated(cells: DataFrame, kept: float) -> DataFrame:
+    """``cells`` with the probability min(1, k * ratio), k such that ``kept`` of all weight is kept.
+
+    In descending order of the ratios, each cell says what k would be if exactly those
+    before it were kept whole; the first that k doesn't take beyond 1 is right.
+    """
+    cells = cells.withColumn("_ratio", F.col("fitted") / F.col("natural"))
+    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("_ratio"), *CELL)
+    everything = Window.partitionBy(F.lit(0))
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    whole, taken = (F.coalesce(F.sum(c).over(before), F.lit(0.0)) for c in ("natural", "fitted"))
+    cells = cells.withColumn("_scale", F.try_divide(kept - whole, F.sum("fitted").over(everything) - taken))
+    cells = cells.withColumn("_scale", F.when(F.col("_scale") * F.col("_ratio") <= 1, F.col("_scale")))
+    cells = cells.withColumn("_rank", F.when(F.col("_scale").isNotNull(), F.row_number().over(order)))
+    first = F.min_by("_scale", "_rank").over(everything)
+    chance = F.least(F.lit(1.0), F.coalesce(first * F.col("_ratio"), F.lit(1.0)))
+    return cells.withColumn("probability", chance).drop("_ratio", "_scale", "_rank")
+
+
+def fitted_cells(tokens: DataFrame, targets: dict[str, dict[str, float]], rounds: int = ROUNDS, kept: float = KEPT) -> DataFrame:
     """``source, lang, topic, natural, fitted, probability`` from ``source, lang, topic, tokens``.
 
     The number of cells is at most the product of the targets' sizes, so the rounds
@@ -75,8 +96,7 @@ def fitted_cells(tokens: DataFrame, targets: dict[str, dict[str, float]], rounds
             cells = cells.withColumn("fitted", F.when(now > 0, F.col("fitted") * F.col(f"{name}_share") / now).otherwise(F.lit(0.0)))
         if round_ % ROUNDS_A_TABLE == 0 or round_ == rounds:
             cells = written(cells, "cells").repartition(1)
-    ratio = F.col("fitted") / F.col("natural")
-    return cells.withColumn("probability", ratio / F.max(ratio).over(everything)).select(*CELL, "natural", "fitted", "probability")
+    return calibrated(cells, kept).select(*CELL, "natural", "fitted", "probability")
 
 
 def draw(key: Column) -> Column:
@@ -86,7 +106,7 @@ def draw(key: Column) -> Column:
 
 def mixed(
     docs: DataFrame, targets: dict[str, dict[str, float]], id_col: str = "doc_id", text_col: str = "text",
-    source: str = "source", lang: str = "lang", topic: str = TOPICS, rounds: int = ROUNDS,
+    source: str = "source", lang: str = "lang", topic: str = TOPICS, rounds: int = ROUNDS, kept: float = KEPT,
 ) -> DataFrame:
     """All rows and columns of ``docs`` and a struct ``_mix(source, lang, topic, tokens, probability, sampled)``.
 
@@ -103,7 +123,7 @@ def mixed(
         listed(F.col(source), targets["source"]).alias("source"), listed(F.col(lang), targets["lang"]).alias("lang"),
         listed(topic_value, targets["topic"]).alias("topic"), F.col("_mix.tokens").alias("tokens"),
     ))
-    cells = fitted_cells(keyed.select("_mix.*"), targets, rounds)
+    cells = fitted_cells(keyed.select("_mix.*"), targets, rounds, kept)
     cell = cells.select(*[F.col(c).alias(f"_cell_{c}") for c in CELL], F.col("probability").alias("_cell_probability"))
     on = reduce(lambda a, b: a & b, [F.col(f"_mix.{c}") == F.col(f"_cell_{c}") for c in CELL])
     joined = keyed.join(F.broadcast(cell), on, "left")  # at most MOST_CELLS rows
@@ -117,7 +137,7 @@ def sampled(docs: DataFrame, targets: dict[str, dict[str, float]], **columns) ->
     return mixed(docs, targets, **columns).where("_mix.sampled").drop("_mix")
 
 
-def fitting_sql(targets: dict[str, dict[str, float]], rounds: int = ROUNDS) -> str:
+def fitting_sql(targets: dict[str, dict[str, float]], rounds: int = ROUNDS, kept: float = KEPT) -> str:
     """DuckDB SQL for ``mixed`` over ``documents``."""
     def quoted(values) -> str:
         return ", ".join(f"'{v}'" for v in values)
@@ -148,7 +168,11 @@ started as (
   from cells c join {share('source')} s on source = s.value join {share('lang')} l on lang = l.value join {share('topic')} t on topic = t.value
 ),
 {", ".join(steps)},
-final as (select {", ".join(CELL)}, fitted / weight / max(fitted / weight) over () as probability from {last})
+ranked as (select *, fitted / weight as ratio, row_number() over w as place,
+    ({kept!r} - coalesce(sum(weight) over w - weight, 0)) / (sum(fitted) over () - coalesce(sum(fitted) over w - fitted, 0)) as scale
+  from {last} window w as (order by fitted / weight desc, {", ".join(CELL)} rows unbounded preceding)),
+chosen as (select min_by(scale, place) as scale from ranked where scale * ratio <= 1),
+final as (select {", ".join(CELL)}, least(1, coalesce(chosen.scale * ratio, 1)) as probability from ranked, chosen)
 select doc_id, source, lang, topic, tokens, round(coalesce(probability, 1), 9) as probability,
   cast(('0x' || substr(md5(cast(doc_id as varchar)), 1, 13)) as bigint) / 4503599627370496 < coalesce(probability, 1) as sampled
 from keyed left join final using (source, lang, topic)
