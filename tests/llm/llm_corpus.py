@@ -1,0 +1,65 @@
+"""A small corpus of odd texts, copies and near copies, and its fixtures."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import types as T
+
+DOCS = T.StructType().add("doc_id", "long").add("text", "string").add("lang", "string").add("source", "string").add("n_chars", "long")
+WORDS = ["the", "and", "river", "stone", "walks", "over", "under", "bright", "night", "seven", "red", "horse", "field", "moves", "slowly", "toward", "home"]
+
+ODD = [
+    None, "", " ", "\n\t ", "one", "two words", "ONE", "a b c", "a  b\tc", "naïve café ÉCOLE", "日本語 テキスト", "İstanbul ŉ ſ", "x<|endoftext|>y <|endoftext|>",
+    "it's I'LL don't '", "1234 5,678.90 %%% &&& ---", "tab\tand\x0bfeed\x0c end", "\x1c\x1d odd \x85 \xa0 spaces", "a" * 5000, "word " * 3000, "é combining", "🙂 emoji 👩‍👩‍👧",
+]
+
+
+def prose(seed: int, n: int) -> str:
+    own = random.Random(seed)
+    return " ".join(own.choice(WORDS) + (own.choice(WORDS) if own.random() < 0.4 else "") for _ in range(n))
+
+
+def edited(text: str, seed: int, changes: int) -> str:
+    own, words = random.Random(seed), text.split(" ")
+    for _ in range(changes):
+        words[own.randrange(len(words))] = f"new{own.randrange(1000)}"
+    return " ".join(words)
+
+
+def corpus() -> list[tuple]:
+    """Odd texts, prose, exact copies, near copies, repeated rows, null ids."""
+    texts = [*ODD, *(prose(k, 20 + 13 * k) for k in range(25))]
+    texts += [prose(3, 59), prose(4, 72) + " ", prose(4, 72).replace(" ", "\n\n")]
+    texts += [edited(prose(90, 120), k, k % 7) for k in range(30)]
+    rows = [(k, t, "en" if k % 3 else "de", f"src{k % 5}", len(t or "")) for k, t in enumerate(texts)]
+    rows += [rows[30], rows[30], (None, prose(5, 85), None, None, None), (None, "", None, None, 0), (-5, prose(6, 98), "fr", None, 0)]
+    return rows
+
+
+@pytest.fixture(scope="session")
+def docs(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("docs") / "documents.parquet")
+    spark.createDataFrame(corpus(), DOCS).repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def lower(text):
+    return (text or "").translate({c: c + 32 for c in range(ord("A"), ord("Z") + 1)})
+
+
+def split(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", lower(text))
+
+
+def clashing(frame):
+    """Columns with names that the operators use themselves."""
+    from pyspark.sql import functions as F
+
+    names = ["row", "print", "text_sha256", "bucket", "component", "n_tokens", "kept", "salt", "recipe", "score", "held_out", "head", "copies"]
+    return frame.withColumns({n: F.lit("clash") for n in names})

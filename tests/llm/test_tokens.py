@@ -1,0 +1,106 @@
+"""Packing and token counts against the tokenizers library."""
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from llm_corpus import ODD, clashing, corpus, docs, no_docs, prose  # noqa: F401
+from tokenizers import Tokenizer
+
+from ledgerflow.llm.packing import Encoder, checksums, harmonic_cuts, pack
+from ledgerflow.llm.token_counts import TokenCounter, token_counts
+
+WORD, BYTE = (public_tokenizers.path(f"{n}.json") for n in ("word_bpe_49k", "byte_bpe_50k"))
+
+
+def contents(path):
+    with open(path, encoding="utf-8") as file:
+        return file.read()
+
+
+def test_proven_strings_are_single_tokens():
+    counter, plain = TokenCounter(contents(BYTE)), Tokenizer.from_file(BYTE)
+    assert len(counter.proven) > 45_000
+    for text in sorted(counter.proven)[::997]:
+        assert len(plain.encode(text, add_special_tokens=False).ids) == 1
+
+
+def test_counts_of_odd_texts():
+    texts = [t or "" for t in ODD] + [prose(k, 300) for k in range(5)] + ["a  b", " lead", "trail ", "x\n\ny", "foo\n bar", "!!'s 're", "x<|endoftext|>", "  "]
+    counter, plain = TokenCounter(contents(BYTE)), Tokenizer.from_file(BYTE)
+    assert counter.counts(texts) == [len(plain.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert counter.counts(texts) == counter.counts(texts)
+    assert counter.counts([]) == []
+
+
+def test_token_counts(docs, no_docs):
+    plain = Tokenizer.from_file(BYTE)
+    want = Counter((i, len((t or "").encode()), n := len(plain.encode(t or "", add_special_tokens=False).ids), n > 1024) for i, t, *_ in corpus())
+    assert Counter(map(tuple, token_counts(docs, BYTE).collect())) == want
+    assert token_counts(clashing(docs), BYTE).count() == docs.count()
+    assert token_counts(no_docs, BYTE).count() == 0
+
+
+def test_other_tokenizers_are_refused(docs):
+    with pytest.raises(ValueError):
+        token_counts(docs, WORD)
+    with pytest.raises((ValueError, AttributeError)):
+        pack(docs, BYTE)
+
+
+def test_encoder_gives_the_same_ids():
+    texts = [t or "" for t in ODD] + [prose(k, 300) for k in range(5)] + ["Café ÑANDÚ", "foo'd'll", "!!'s x", "ÀÉ"]
+    encoder, plain = Encoder(contents(WORD)), Tokenizer.from_file(WORD)
+    for _ in range(2):
+        for text, ids in zip(texts, encoder.encode(pa.array(texts)), strict=True):
+            assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("capacity, slack", [(2048, 64), (2048, 0), (100, 3), (7, 1)])
+def test_cuts_fill_their_class(capacity, slack):
+    for n, pieces in enumerate(harmonic_cuts(capacity, slack)):
+        assert sum(length for length, _ in pieces) == n
+        assert all(0 <= capacity - k * length <= slack for length, k in pieces)
+
+
+def packed(frame, **settings):
+    plain, rows = Tokenizer.from_file(WORD), [r.asDict() for r in checksums(pack(frame, WORD, **settings)).collect()]
+    want = Counter()
+    for i, text, *_ in corpus():
+        ids = np.array([*plain.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4")
+        want[i, len(ids), zlib.crc32(ids.tobytes())] += 1
+    return rows, want, plain
+
+
+@pytest.mark.parametrize("capacity, slack", [(2048, 64), (64, 2)])
+def test_packing(docs, capacity, slack):
+    rows, want, plain = packed(docs, capacity=capacity, slack=slack)
+    ids = {}
+    for i, text, *_ in corpus():
+        ids.setdefault(i, []).append(np.array([*plain.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4"))
+    # Repeated ids have one text each here but for null.
+    for r in rows:
+        pieces = {zlib.crc32(x[r["start"]:r["start"] + r["length"]].tobytes()) for x in ids[r["doc_id"]] if len(x) == r["doc_tokens"]}
+        assert r["ids_crc32"] in pieces
+    assert sum(r["length"] for r in rows) == sum(n * k for (_, n, _), k in want.items())
+    covered = Counter((r["doc_id"], r["doc_tokens"], at) for r in rows for at in range(r["start"], r["start"] + r["length"]))
+    assert covered == Counter((i, n, at) for (i, n, _), k in want.items() for at in range(n) for _ in range(k))
+    sequences, padding = defaultdict(list), 0
+    for r in rows:
+        sequences[r["sequence_id"]].append(r)
+    for pieces in sequences.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= capacity
+        padding += 0 if at & (at - 1) == 0 else capacity - at
+    assert padding <= len(sequences) * slack
+
+
+def test_packing_nothing_and_clashing_names(docs, no_docs):
+    assert pack(no_docs, WORD).count() == 0
+    assert pack(clashing(docs), WORD).count() == pack(docs, WORD).count()
