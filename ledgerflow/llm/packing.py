@@ -34,7 +34,7 @@ END_ID = 1
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"  # fixed value: marks a word's last token in the vocabulary
 PLAIN = re.compile("[\t\n\r -~¡-įı-ňŊ-ſ]*")  # lower case and composition are the same in all libraries
-MOST_KNOWN = 600_000  # words whose ids a worker remembers at a time, in about 20 MB
+MOST_KNOWN = 1_000_000  # words whose ids a worker remembers at a time, in about 35 MB
 MERGE_FROM = 100_000
 FLUSH_TOKENS = 1 << 19
 
