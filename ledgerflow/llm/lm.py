@@ -27,7 +27,7 @@ STEP = 1.5  # ratio of two levels' counts
 LEVELS = 80
 PAIR_FROM = 2  # least count of a pair in the filter
 PROBES, BITS_AN_ENTRY = 4, 16
-MOST_FILTER_BYTES = 256 << 20
+MOST_FILTER_BYTES = 128 << 20
 MOST_FREQUENT = 1 << 20  # words whose exact counts are broadcast
 DISCOUNT = 0.5
 TOKENS_A_RANGE = 1 << 20
