@@ -8,13 +8,14 @@ TASK_BYTES = 256 * 1024 * 1024
 MOST_TASKS = 40_000
 
 
-def session_options(load_bytes: int | None = None) -> dict[str, str]:
+def session_options(load_bytes: int | None = None, most_tasks: int = MOST_TASKS) -> dict[str, str]:
     """Settings for ``SparkSession.builder.config(map=...)``.
 
     ``load_bytes`` is the expected size of the largest load. It sets how much a
     scan task reads and how many partitions a shuffle starts with. Adaptive
     execution merges those that turn out small, but splits none outside of
-    skewed joins and rebalanced writes, so too few would spill.
+    skewed joins and rebalanced writes, so too few would spill. Where that would
+    make more than ``most_tasks`` of them, each reads more; results are the same.
     """
     options = {
         "spark.sql.adaptive.enabled": "true",
@@ -24,7 +25,7 @@ def session_options(load_bytes: int | None = None) -> dict[str, str]:
         "spark.kryoserializer.buffer.max": "512m",
     }
     if load_bytes is not None:
-        per_task = max(TASK_BYTES, ceil(load_bytes / MOST_TASKS))
+        per_task = max(TASK_BYTES, ceil(load_bytes / most_tasks))
         options |= {
             "spark.sql.files.maxPartitionBytes": str(per_task),
             "spark.sql.shuffle.partitions": str(max(200, ceil(load_bytes / per_task))),

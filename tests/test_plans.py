@@ -2,8 +2,9 @@
 
 import pytest
 
-import __spark_entry__ as driver
 from conftest import plan_text
+from ledgerflow.queries import QUERIES
+from ledgerflow.operators.checks import rejected_rows
 from ledgerflow.operators.quality import quality_report
 from ledgerflow.plans.account import transform_account_data
 from ledgerflow.plans.customer import transform_customer_data, with_vip
@@ -16,14 +17,14 @@ SF_DIR = "/root/testdata/sf0.001"
 
 # These write tables when they are built; the others only describe a result.
 LAZY = sorted(
-    name for name in driver.queries()
+    name for name in QUERIES
     if not name.startswith(("load_", "sink_", "run_", "watermark_", "customer_current"))
 )
 
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_and_no_pairing_in_any_plan(spark, name):
-    plan = plan_text(driver.queries()[name](spark, SF_DIR))
+    plan = plan_text(QUERIES[name][0](spark, SF_DIR))
     assert "EvalPython" not in plan and "InPandas" not in plan
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
@@ -38,6 +39,14 @@ def stored(spark, tmp_path):
     return store
 
 
+def test_keys_of_rejected_rows_are_counted_once(spark, stored):
+    """The key counts are a written table; the plan reads that, and the rows three times."""
+    dirty = stored(derived(spark, SF_DIR, "customers_dirty"), "dirty")
+    plan = plan_text(rejected_rows(dirty, ["customer_id"], ["customer_id", "kyc_status"]))
+    assert "repeated-keys" in plan and plan.count("/dirty]") == 3
+    assert "BroadcastHashJoin" in plan and "count > 1" not in plan
+
+
 def test_customers_are_shuffled_once(spark, stored):
     raw = stored(spark.createDataFrame([tuple(BASE.values())], CUSTOMER))
     plan = plan_text(with_vip(transform_customer_data(raw)))
