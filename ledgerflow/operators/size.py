@@ -1,7 +1,7 @@
 """How large a side of a join is, measured before it is broadcast."""
 
 import tempfile
-from functools import reduce
+from functools import cache, reduce
 from operator import add
 from uuid import uuid4
 
@@ -34,14 +34,18 @@ def broadcast_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0)).alias("total")).first()["total"]
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="ledgerflow-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share; a new one of this machine in a local session without."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="ledgerflow-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _own_folder()
     return shared.rstrip("/")
 
 
