@@ -5,11 +5,12 @@ below ``spark.checkpoint.dir``; only a local session that names none gets a fold
 of this machine.
 """
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ledgerflow.operators.size import shared_folder
+
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 1000
 SALTS = 32  # tasks over which the rows of one group are spread
@@ -19,13 +20,8 @@ MOST_BROADCAST_KEYS = 1_000_000
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="ledgerflow-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/{name}-{uuid4().hex}"
+    """A new folder on the storage all executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
 
 
 def small_batches(spark: SparkSession) -> None:
