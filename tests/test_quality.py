@@ -10,6 +10,7 @@ from ledgerflow.operators.checks import (
     apply_standard_checks, conform, latest_per_key, rejected_rows, validate_schema,
 )
 from ledgerflow.operators.merge import merge_latest
+from ledgerflow.operators.size import shared_folder
 from ledgerflow.operators.quality import (
     check_data_freshness, check_for_duplicates, check_for_nulls, quality_report,
 )
@@ -170,3 +171,18 @@ def test_report_is_one_scan_and_one_keyed_shuffle(spark, tmp_path):
     text = plan_text(plan)
     assert text.count("FileScan") == 1
     assert text.count("hashpartitioning") == 1
+
+
+class Settings:
+    """As much of a session as names a shared folder."""
+
+    def __init__(self, **settings):
+        self.conf = {name.replace("_", "."): value for name, value in settings.items()}
+
+
+def test_a_cluster_has_to_name_its_shared_folder():
+    with pytest.raises(ValueError):
+        shared_folder(Settings(spark_master="yarn"))
+    assert shared_folder(Settings(spark_master="yarn", spark_checkpoint_dir="s3a://b/c/")) == "s3a://b/c"
+    own = shared_folder(Settings(spark_master="local[2]"))
+    assert own == shared_folder(Settings(spark_master="local[2]"))
