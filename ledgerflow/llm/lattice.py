@@ -204,11 +204,14 @@ def near_vectors(
     entries = entries.join(checked_broadcast(large), "bucket", "left")
     across, down = (F.greatest(F.lit(1), F.ceil(F.coalesce(c, F.lit(1)) / block)).cast("int") for c in ("stored", "entries"))
     mine = lambda n: F.pmod(F.xxhash64("head"), n).cast("int")
-    alone = entries.where("entries is null").select("bucket", F.lit(0).alias("i"), F.lit(0).alias("j"), F.when(F.col("own"), STORED | ASKING | OWN).otherwise(ASKING).alias("role"), "head", "copies", "embedding")
-    split = entries.where("entries is not null")
-    stored = split.where("own").select("bucket", mine(across).alias("i"), F.explode(F.sequence(F.lit(0), down - 1)).alias("j"), F.lit(STORED).alias("role"), "head", "copies", "embedding")
-    asking = split.select("bucket", F.explode(F.sequence(F.lit(0), across - 1)).alias("i"), mine(down).alias("j"), F.when(F.col("own"), ASKING | OWN).otherwise(ASKING).alias("role"), "head", "copies", "embedding")
-    blocks = alone.union(stored).union(asking).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    role = F.when(F.col("own"), ASKING | OWN).otherwise(ASKING)
+    place = lambda i, j, role: F.struct(F.lit(i).cast("int").alias("i"), F.lit(j).cast("int").alias("j"), F.lit(role).cast("int").alias("role"))
+    asking = F.transform(F.sequence(F.lit(0), across - 1), lambda i: place(i, mine(down), role))
+    stored = F.transform(F.sequence(F.lit(0), down - 1), lambda j: place(mine(across), j, STORED))
+    alone = F.array(place(0, 0, F.when(F.col("own"), STORED | ASKING | OWN).otherwise(ASKING)))
+    places = F.when(F.col("entries").isNull(), alone).when(F.col("own"), F.concat(stored, asking)).otherwise(asking)
+    entries = entries.select("bucket", F.explode(places).alias("place"), "head", "copies", "embedding")
+    blocks = entries.select("bucket", "place.*", "head", "copies", "embedding").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     found = written(blocks.mapInArrow(_verify(least, settings), "head long, links long, least long"), "found")
 
     links = found.groupBy("head").agg(F.sum("links").alias("links"))
