@@ -84,7 +84,7 @@ def quality_model(docs: DataFrame, spark: SparkSession, sf_dir: str):
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return rate(docs, quality_model(docs, spark, sf_dir))
+    return rate(docs, quality_model(docs, spark, sf_dir)).withColumn("kept", F.col("selected"))
 
 
 OP2_SQL = """
