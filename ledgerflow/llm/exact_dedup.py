@@ -12,7 +12,7 @@ from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerflow.llm.store import SALTS, small_batches, written
 from ledgerflow.llm.words import IS_SPACE, flat, mix, slices
@@ -96,15 +96,14 @@ def _recipes(bits: int):
 
 
 def _chunks(bits: int):
-    """Chunks of the texts, once per slice, with the recipe's digest of each text."""
+    """The distinct chunks of each slice with their digests."""
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 data, starts = normalised(*flat(part.column("text")))
                 ends, _ = chunk_bounds(data, starts)
                 begins = np.concatenate([[0], ends[:-1]]).tolist()
-                own = {data[lo:hi].tobytes() for lo, hi in zip(begins, ends.tolist(), strict=True)}
-                own = list(own)
+                own = list({data[lo:hi].tobytes() for lo, hi in zip(begins, ends.tolist(), strict=True)})
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_digest(c, bits) for c in own], pa.binary()), pa.array(own, pa.binary())], names=["digest", "content"])
     return run
@@ -137,8 +136,6 @@ def distinct_chunks(texts: DataFrame, digest_bits: int = 8 * DIGEST_BYTES) -> Da
 def _ordinals(texts: DataFrame, clashing: DataFrame, digest_bits: int) -> DataFrame:
     """For texts with chunks whose digest stands for several contents: those chunks'
     ordinals among the contents of their digest, in order of their places."""
-    from pyspark.sql import Window
-
     contents = distinct_chunks(texts, digest_bits).join(clashing, "digest", "left_semi")
     ranked = contents.withColumn("ordinal", F.row_number().over(Window.partitionBy("digest").orderBy("content")))
     places = texts.select("text").mapInArrow(_places(digest_bits), "text_sha256 string, place long, digest binary, content binary")
