@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerflow.llm.store import small_batches, written
-from ledgerflow.llm.words import flat, located_words, slices
+from ledgerflow.llm.words import IS_SPACE, LOWER, flat, located_words, run_hashes, slices
 
 CAPACITY = 2048
 SLACK = 64  # tokens that a class may leave empty in a sequence
@@ -34,6 +34,13 @@ END_ID = 1
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"  # fixed value: marks a word's last token in the vocabulary
 PLAIN = re.compile("[\t\n\r -~¡-įı-ňŊ-ſ]*")  # lower case and composition are the same in all libraries
+# Of these, texts without apostrophes and symbols beyond ASCII: a pre-token there is a run of
+# letters, a run of marks, or a digit.
+SIMPLE = re.compile("[\t\n\r -&(-~À-ÖØ-öø-įı-ňŊ-ſ]*")
+KIND = np.full(256, 3, dtype=np.uint8)
+KIND[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 256)]] = 1
+KIND[ord("0"):ord("9") + 1] = 2
+KIND[IS_SPACE] = 0
 MOST_KNOWN = 1_000_000  # words whose ids a worker remembers at a time, in about 35 MB
 MERGE_FROM = 100_000
 FLUSH_TOKENS = 1 << 19
@@ -76,9 +83,10 @@ class _Memory:
 class Encoder:
     """Token ids of lower-casing word-end BPE tokenizers, remembered word by word.
 
-    No pre-token crosses white space, so a text's ids are those of its words. Texts
-    with other characters than ASCII and Latin letters, or with a special token's
-    string, are encoded whole by the tokenizer.
+    No pre-token crosses white space, so a text's ids are those of its words, and in a
+    simple text those of its runs of letters, marks or single digits. Texts with other
+    characters than ASCII and Latin letters, or with a special token's string, are
+    encoded whole by the tokenizer.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -110,8 +118,11 @@ class Encoder:
             ids, ends = np.concatenate(pieces), np.cumsum([len(p) for p in pieces])
         return ids, np.concatenate([[0], ends])
 
-    def _learn(self, hashes: np.ndarray, new: list[str]) -> None:
-        """Ids of new words from those of their distinct pre-tokens."""
+    def _learn(self, hashes: np.ndarray, new: list[str], whole: bool) -> None:
+        """Ids of new strings from those of their distinct pre-tokens, or of pre-tokens (``whole``)."""
+        if whole:
+            self.memory.add(hashes, *self._parts(new))
+            return
         parts = [self.split(word) for word in new]
         own = list(set(chain.from_iterable(parts)))
         ids, starts = self._parts(own)
@@ -121,9 +132,14 @@ class Encoder:
         bounds = np.concatenate([[0], np.cumsum(starts[order + 1] - starts[order])])[np.concatenate([[0], np.cumsum(counts)])]
         self.memory.add(hashes, gathered(ids, starts, order), bounds)
 
-    def _plain(self, column) -> list[np.ndarray]:
+    def _plain(self, column, simple: bool) -> list[np.ndarray]:
         data, starts = flat(column)
-        hashes, first, end = located_words(data, starts)
+        if simple:
+            data = LOWER[data]
+            first, end = runs(data, starts)
+            hashes = run_hashes(data, first, end)
+        else:
+            hashes, first, end = located_words(data, starts)
         distinct, example, back = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.memory.starts) > MOST_KNOWN:
             self.memory = _Memory()
@@ -132,7 +148,7 @@ class Encoder:
         if len(unknown):
             raw, at = data.tobytes(), example[unknown]
             new = [raw[lo:hi].decode().lower() for lo, hi in zip(first[at].tolist(), end[at].tolist(), strict=True)]
-            self._learn(distinct[unknown], new)
+            self._learn(distinct[unknown], new, simple)
             numbers[unknown] = np.arange(len(self.memory.starts) - 1 - len(unknown), len(self.memory.starts) - 1)
         order = numbers[back]
         ids = gathered(self.memory.ids, self.memory.starts, order)
@@ -142,9 +158,24 @@ class Encoder:
     def encode(self, column) -> list[np.ndarray]:
         """The ids of each text of an Arrow column; none for null."""
         texts = [t or "" for t in column.to_pylist()]
-        plain = np.array([PLAIN.fullmatch(t) is not None and not any(s in t for s in self.special) for t in texts], dtype=bool)
-        own = iter(self._plain(column.filter(pa.array(plain))))
-        return [next(own) if p else self._whole(t) for t, p in zip(texts, plain.tolist(), strict=True)]
+        plain = [PLAIN.fullmatch(t) is not None and not any(s in t for s in self.special) for t in texts]
+        simple = [p and SIMPLE.fullmatch(t) is not None for p, t in zip(plain, texts, strict=True)]
+        by_run = iter(self._plain(column.filter(pa.array(simple, pa.bool_())), True))
+        by_word = iter(self._plain(column.filter(pa.array([p and not s for p, s in zip(plain, simple, strict=True)], pa.bool_())), False))
+        return [next(by_run) if s else next(by_word) if p else self._whole(t) for t, p, s in zip(texts, plain, simple, strict=True)]
+
+
+def runs(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes and ends of the pre-tokens of simple texts."""
+    kind = KIND[data]
+    begins = np.empty(len(data), dtype=bool)
+    begins[:1] = True
+    begins[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    begins[starts[starts < len(data)]] = True
+    first = np.flatnonzero(begins)
+    end = np.append(first[1:], len(data))
+    own = kind[first] > 0
+    return first[own], end[own]
 
 
 def gathered(values: np.ndarray, bounds: np.ndarray, order: np.ndarray) -> np.ndarray:

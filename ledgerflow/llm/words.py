@@ -110,6 +110,11 @@ def located_words(data: np.ndarray, starts: np.ndarray, lower: bool = True, sepa
     if lower:
         data = LOWER[data]
     first, end = word_bounds(data, starts, separators)
+    return run_hashes(data, first, end), first, end
+
+
+def run_hashes(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash for every run of bytes, given in ascending order."""
     out = np.empty(len(first), dtype=np.uint64)
     at = 0
     while at < len(first):
@@ -117,7 +122,7 @@ def located_words(data: np.ndarray, starts: np.ndarray, lower: bool = True, sepa
         upto = max(at + 1, int(np.searchsorted(end, low + WINDOW, side="right")))
         out[at:upto] = _hash(data[low:end[upto - 1]], first[at:upto] - low, end[at:upto] - low)
         at = upto
-    return out, first, end
+    return out
 
 
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
