@@ -3,9 +3,11 @@
 Token weights of the cells source x language x topic are raked to the target shares of
 each of the three marginals in turn, until all hold. A document is kept with a
 probability in proportion to its cell's ratio of fitted to natural weight, calibrated
-so that a given share of all tokens is kept. Documents aren't repeated: a cell that
-would have to give more than it has is kept whole, and the others make up for it.
-A document's draw depends on its id alone.
+so that a given share of all tokens is kept. Unless repeats are asked for, a cell that
+would have to give more than it has is kept whole and the others make up for it, so
+such cells stay below their targets. With ``repeats``, a document comes as often as its
+cell's ratio says and the sample has the target shares. A document's draw depends on
+its id alone.
 
 Values without a target of their own form one group that keeps its natural share, so
 the number of cells is bounded by the targets given, whatever the corpus holds.
@@ -107,6 +109,7 @@ def draw(key: Column) -> Column:
 def mixed(
     docs: DataFrame, targets: dict[str, dict[str, float]], id_col: str = "doc_id", text_col: str = "text",
     source: str = "source", lang: str = "lang", topic: str = TOPICS, rounds: int = ROUNDS, kept: float = KEPT,
+    repeats: bool = False,
 ) -> DataFrame:
     """All rows and columns of ``docs`` and a struct ``_mix(source, lang, topic, tokens, probability, sampled)``.
 
@@ -115,6 +118,10 @@ def mixed(
     all the same; in a cell without any words it is kept. Rows with the same id are
     kept or dropped together; a null id draws by its text. ``docs`` may hold columns
     of any names but ``_mix`` and such as begin with ``_cell_``.
+
+    With ``repeats`` the struct also has ``copies``: how often the row is in a sample of
+    ``kept`` of all tokens in which the target shares hold, a whole number whose
+    expectation is ``kept`` times the cell's ratio of fitted to natural weight.
     """
     text = F.col(text_col)
     with_words = docs.withColumn("_mix", F.struct(words(text).alias("tokens")))
@@ -124,12 +131,18 @@ def mixed(
         listed(topic_value, targets["topic"]).alias("topic"), F.col("_mix.tokens").alias("tokens"),
     ))
     cells = fitted_cells(keyed.select("_mix.*"), targets, rounds, kept)
-    cell = cells.select(*[F.col(c).alias(f"_cell_{c}") for c in CELL], F.col("probability").alias("_cell_probability"))
+    cell = cells.select(*[F.col(c).alias(f"_cell_{c}") for c in CELL], F.col("probability").alias("_cell_probability"),
+                         (F.col("fitted") / F.col("natural") * kept).alias("_cell_expected"))
     on = reduce(lambda a, b: a & b, [F.col(f"_mix.{c}") == F.col(f"_cell_{c}") for c in CELL])
     joined = keyed.join(F.broadcast(cell), on, "left")  # at most MOST_CELLS rows
     chance = F.coalesce("_cell_probability", F.lit(1.0))
     key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text:"), F.coalesce(text, F.lit(""))))
-    return joined.withColumn("_mix", F.struct("_mix.*", chance.alias("probability"), (draw(key) < chance).alias("sampled"))).drop(*cell.columns)
+    drawn = [chance.alias("probability"), (draw(key) < chance).alias("sampled")]
+    if repeats:
+        expected = F.coalesce("_cell_expected", F.lit(1.0))
+        more = draw(key) < expected - F.floor(expected)
+        drawn.append((F.floor(expected) + more.cast("long")).alias("copies"))
+    return joined.withColumn("_mix", F.struct("_mix.*", *drawn)).drop(*cell.columns)
 
 
 def sampled(docs: DataFrame, targets: dict[str, dict[str, float]], **columns) -> DataFrame:
@@ -137,6 +150,12 @@ def sampled(docs: DataFrame, targets: dict[str, dict[str, float]], **columns) ->
     return mixed(docs, targets, **columns).where("_mix.sampled").drop("_mix")
 
 
+def repeated(docs: DataFrame, targets: dict[str, dict[str, float]], **columns) -> DataFrame:
+    """Each row of ``docs`` as often as ``mixed`` says with ``repeats``, with the columns of ``docs``."""
+    found = mixed(docs, targets, repeats=True, **columns).where("_mix.copies > 0")
+    return found.withColumn("_mix", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix.copies")))).drop("_mix")
+
+
 def fitting_sql(targets: dict[str, dict[str, float]], rounds: int = ROUNDS, kept: float = KEPT) -> str:
     """DuckDB SQL for ``mixed`` over ``documents``."""
     def quoted(values) -> str:

@@ -58,6 +58,23 @@ def test_sampling_follows_the_probabilities(spark):
     assert kept.columns == many.columns
 
 
+def realised(sample):
+    """The token shares of a sample's sources, languages and topics."""
+    tokens = sample.select("source", "lang", mixing.words(F.col("text")).alias("n")).withColumn("topic", F.expr(mixing.TOPICS.format(words="n")))
+    total = tokens.agg(F.sum("n")).first()[0]
+    return {c: {r[c]: r.n / total for r in tokens.groupBy(c).agg(F.sum("n").alias("n")).collect()} for c in mixing.CELL}
+
+
+def test_repeated_sample_has_the_target_shares(spark):
+    """Also where targets are far above the natural shares."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    sample = mixing.repeated(docs, queries.TARGETS)
+    assert sample.columns == docs.columns
+    for name, shares in realised(sample).items():
+        for value, target in queries.TARGETS[name].items():
+            assert abs(shares[value] - target) < 0.02, (name, value, shares[value])
+
+
 def test_every_row_is_mixed(docs, no_docs):
     rows = mixing.mixed(clashing(docs), TARGETS).select("doc_id", "text", "_mix.*").collect()
     assert len(rows) == docs.count()
