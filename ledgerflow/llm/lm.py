@@ -6,8 +6,10 @@ so none grows with it, and a frequent n-gram is one entry of a task's array.
 
 Model: a count c becomes the level 1 + floor(log c); an n-gram of level q is in the
 filter q times, once for each level up to its own. A lookup probes levels upwards until
-one is missing. The filter is broadcast. Its size is bounded: where the counts of a
-larger corpus wouldn't fit, the least level kept is raised for all n-grams alike.
+one is missing. The filter is broadcast up to a bounded size. A larger one stays in its
+segments, a hash range each: tasks ask for the distinct n-grams of some million tokens,
+the questions meet their segment in a shuffled join and the answers meet the texts in
+another. The filter's bits, and so the scores, are the same either way.
 
 Score: P(w | h) = D * C(h w) / C(h) + g * (C(w) + 1) / (N + V + 1) with quantised counts
 C; g is what the pairs in the filter leave, measured over all training texts for each
@@ -15,6 +17,8 @@ level of the context. The exact base score takes the counts of the most frequent
 from a bounded broadcast table and those of all other words from a shuffled join.
 """
 
+from types import SimpleNamespace
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -27,7 +31,7 @@ STEP = 1.5  # ratio of two levels' counts
 LEVELS = 80
 PAIR_FROM = 2  # least count of a pair in the filter
 PROBES, BITS_AN_ENTRY = 4, 16
-MOST_FILTER_BYTES = 128 << 20
+MOST_FILTER_BYTES = 128 << 20  # broadcast; a larger filter is joined
 MOST_FREQUENT = 1 << 20  # words whose exact counts are broadcast
 DISCOUNT = 0.5
 TOKENS_A_RANGE = 1 << 20
@@ -156,6 +160,18 @@ class Filter:
         return out
 
 
+class Answers:
+    """The levels that a filter gave for the hashes of some texts."""
+
+    def __init__(self, table: pa.Table, least: dict[str, int]):
+        self.least = least
+        self.hashes, first = np.unique(_joined(table["keys"], np.uint64), return_index=True)
+        self.found = _joined(table["levels"], np.uint8)[first].astype(np.int64)
+
+    def levels(self, hashes: np.ndarray, first: int) -> np.ndarray:
+        return self.found[np.searchsorted(self.hashes, hashes)]
+
+
 def pair_entries(tails: np.ndarray, number, bits: int) -> np.ndarray:
     """The hashes under which the pairs of a range, or of a range each, are in the filter;
     they begin with the range. A word is there under its own hash."""
@@ -196,6 +212,64 @@ def _lookup(model: dict, tokens: np.ndarray, before: np.ndarray, words: np.ndarr
     return of_token, of_before, of_pair
 
 
+CHUNKS = "chunk long, row long, doc_id {kind}, held_out boolean, text string, segment long, keys binary"
+
+
+def _ask(word_bits: int, pair_bits: int, tokens_a_chunk: int, id_type: pa.DataType):
+    """The rows with the number of their chunk, and the distinct hashes that each chunk asks of each segment."""
+    def asked(chunk: int, hashes: list):
+        keys = np.unique(np.concatenate(hashes))
+        ends = np.searchsorted(_ranges(keys, word_bits), np.arange((1 << word_bits) + 1))
+        held = [k for k in range(1 << word_bits) if ends[k] < ends[k + 1]]
+        n = len(held)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([chunk] * n, pa.int64()), *(pa.nulls(n, t) for t in (pa.int64(), id_type, pa.bool_(), pa.string())),
+             pa.array(held, pa.int64()), pa.array([keys[ends[k]:ends[k + 1]].tobytes() for k in held], pa.binary())],
+            names=[f.split()[0] for f in CHUNKS.split(", ")])
+
+    def run(batches):
+        chunk, hashes, held = None, [], 0
+        for batch in batches:
+            for part in slices(batch):
+                tokens, before, _ = tokens_of(part.column("text"))
+                pairs = np.unique(pairs_of(before, tokens))
+                hashes += [np.unique(tokens), pair_entries(_tail(pairs, pair_bits), _ranges(pairs, pair_bits), pair_bits)]
+                held += len(tokens)
+                chunk = part.column("row")[0].as_py() if chunk is None else chunk
+                n = part.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk] * n, pa.int64()), *(part.column(c) for c in ("row", "doc_id", "held_out", "text")), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())],
+                    names=[f.split()[0] for f in CHUNKS.split(", ")])
+                if held >= tokens_a_chunk:
+                    yield asked(chunk, hashes)
+                    chunk, hashes, held = None, [], 0
+        if held:
+            yield asked(chunk, hashes)
+    return run
+
+
+def _answer(filled: Filter):
+    """One segment: the levels of all hashes that chunks ask of it."""
+    def run(key: tuple[pa.Scalar, ...], asked: pa.Table, segment: pa.Table) -> pa.Table:
+        alone = Filter(0, filled.segment_words, filled.least)
+        alone.words = _joined(segment["bits"], np.uint64)
+        chunks, keys, levels = asked["chunk"], asked["keys"], []
+        for k in keys.to_pylist():
+            hashes = np.frombuffer(k, np.uint64)
+            found = alone.levels(hashes, 1) if len(alone.words) else np.zeros(len(hashes), dtype=np.int64)
+            levels.append(found.astype(np.uint8).tobytes())
+        return pa.table({"chunk": chunks, "keys": keys, "levels": pa.array(levels, pa.binary())})
+    return run
+
+
+def _with_answers(shared, step):
+    """``step``, a function of a shared model that reads batches, over one chunk with its answers."""
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table, answers: pa.Table) -> pa.Table:
+        own = shared.value | {"filter": Answers(answers, shared.value["filter"].least)}
+        return pa.Table.from_batches(step(SimpleNamespace(value=own))(rows.to_batches()))
+    return run
+
+
 def _known(model: dict, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether a word is among the most frequent, and the logarithm of its count plus one."""
     if not len(model["keys"]):
@@ -316,32 +390,36 @@ def fit_counts(texts: DataFrame, n_bytes: int, tokens_a_range: int = TOKENS_A_RA
     return written(merged, "counts"), word_bits, pair_bits
 
 
-def build(counts: DataFrame, word_bits: int, pair_bits: int, most_bytes: int, most_frequent: int) -> dict:
-    """The filter, the most frequent words' exact counts and the totals, all of bounded size."""
+def build(counts: DataFrame, word_bits: int, pair_bits: int, most_bytes: int, most_frequent: int) -> tuple[dict, DataFrame | None]:
+    """The filter, the most frequent words' exact counts and the totals, all of bounded size.
+
+    A filter beyond ``most_bytes`` is not in the model but comes as a table of its segments.
+    """
     totals = counts.where("kind = 'word'").agg(F.sum("distinct").alias("v"), F.sum("total").alias("n")).first()
     sizes = {"word": np.zeros(LEVELS, dtype=np.int64), "pair": np.zeros(LEVELS, dtype=np.int64)}
     for r in counts.select("kind", F.posexplode("sizes").alias("level", "size")).groupBy("kind", "level").agg(F.sum("size").alias("size")).collect():
         sizes[r["kind"]][r["level"]] = r["size"]
     above = {k: np.cumsum(s[::-1])[::-1] for k, s in sizes.items()}  # n-grams of each level or higher
-    least = {"word": 1, "pair": 1}
-    entries = lambda: sum(int(above[k][least[k]:].sum()) for k in least)
-    while entries() * BITS_AN_ENTRY > most_bytes * 8:
-        most = max(least, key=lambda k: above[k][least[k]])
-        least[most] += 1
-    segment_words = max(8, -(-entries() * BITS_AN_ENTRY // 64 >> word_bits))
-    filled = Filter(word_bits, segment_words, least)
+    entries = sum(int(a[1:].sum()) for a in above.values())
+    segment_words = max(8, -(-entries * BITS_AN_ENTRY // 64 >> word_bits))
+    filled = Filter(word_bits, segment_words, {"word": 1, "pair": 1})
     segment = F.when(F.col("kind") == "word", F.col("range")).otherwise(F.floor(F.col("range") / (1 << (pair_bits - word_bits)))).cast("long")
-    built = counts.select(segment.alias("segment"), "kind", "range", "keys", "counts").groupBy("segment").applyInArrow(_fill(filled, pair_bits), "segment long, bits binary").toArrow()
-    filled.words = np.zeros(segment_words << word_bits, dtype=np.uint64)
-    for number, bits in zip(built["segment"].to_pylist(), built["bits"].to_pylist(), strict=True):
-        filled.words[number * segment_words:(number + 1) * segment_words] = np.frombuffer(bits, np.uint64)
+    segments = counts.select(segment.alias("segment"), "kind", "range", "keys", "counts").groupBy("segment").applyInArrow(_fill(filled, pair_bits), "segment long, bits binary")
+    joined = entries * BITS_AN_ENTRY > most_bytes * 8
+    if joined:
+        segments = written(segments, "segments")
+    else:
+        built = segments.toArrow()
+        filled.words = np.zeros(segment_words << word_bits, dtype=np.uint64)
+        for number, bits in zip(built["segment"].to_pylist(), built["bits"].to_pylist(), strict=True):
+            filled.words[number * segment_words:(number + 1) * segment_words] = np.frombuffer(bits, np.uint64)
     from_level = next(q for q in range(1, LEVELS) if above["word"][q] <= most_frequent)
     keys, exact = _frequent(counts, from_level)
     return {
         "filter": filled, "word_bits": word_bits, "pair_bits": pair_bits, "n": int(totals["n"] or 0), "v": int(totals["v"] or 0), "keys": keys, "counts": exact,
         "complete": from_level == 1, "denominator": float((totals["n"] or 0) + (totals["v"] or 0) + 1),
-        "pair_level": max(least["word"], int(levels_of(np.array([PAIR_FROM]), 1)[0])) if least["word"] == 1 else 0,
-    }
+        "pair_level": int(levels_of(np.array([PAIR_FROM]), 1)[0]),
+    }, segments if joined else None
 
 
 def _frequent(counts: DataFrame, from_level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -375,19 +453,32 @@ def score(
     training = texts.where("not held_out")
     facts = training.agg(F.sum(F.octet_length("text") + 1).alias("bytes"), F.count(F.lit(1)).alias("texts")).first()
     counts, word_bits, pair_bits = fit_counts(training, facts["bytes"] or 0, tokens_a_range)
-    model = build(counts, word_bits, pair_bits, most_filter_bytes, most_frequent)
+    model, segments = build(counts, word_bits, pair_bits, most_filter_bytes, most_frequent)
     model["starts"] = max(1, facts["texts"])
     model["start_level"] = int(levels_of(np.array([model["starts"]]), 1)[0])
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast(model)
+    rows = texts.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", "text")
+    id_type = texts.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
+    measured, shape = "level long, tokens double, paired double", SCORED.format(kind=kind)
+    if segments is None:
+        parts = training.select("text").mapInArrow(_measure(context.broadcast(model)), measured)
+    else:
+        chunks = written(rows.mapInArrow(_ask(word_bits, pair_bits, TOKENS_HELD, id_type), CHUNKS.format(kind=kind)), "chunks")
+        asked = chunks.where("segment is not null").select("segment", "chunk", "keys").groupBy("segment")
+        answers = asked.cogroup(segments.groupBy("segment")).applyInArrow(_answer(model["filter"]), "chunk long, keys binary, levels binary")
+        answers = written(answers, "answers").groupBy("chunk")
+        by_chunk = chunks.where("segment is null").select("chunk", "row", "doc_id", "held_out", "text")
+        parts = by_chunk.where("not held_out").groupBy("chunk").cogroup(answers).applyInArrow(_with_answers(context.broadcast(model), _measure), measured)
     seen = np.zeros((LEVELS, 2))
-    for r in training.select("text").mapInArrow(_measure(shared), "level long, tokens double, paired double").groupBy("level").agg(F.sum("tokens").alias("t"), F.sum("paired").alias("p")).collect():
+    for r in parts.groupBy("level").agg(F.sum("tokens").alias("t"), F.sum("paired").alias("p")).collect():
         seen[r["level"]] = r["t"], r["p"]
     model["rest"] = 1 - DISCOUNT * np.where(seen[:, 0] > 0, seen[:, 1] / np.maximum(seen[:, 0], 1), 0.0)
-    shared = context.broadcast(model)
-    rows = texts.withColumn("row", F.monotonically_increasing_id())
-    id_type = texts.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
-    found = written(rows.select("row", "doc_id", "held_out", "text").mapInArrow(_score(shared, word_bits, id_type), SCORED.format(kind=kind)), "scores")
+    if segments is None:
+        found = rows.mapInArrow(_score(context.broadcast(model), word_bits, id_type), shape)
+    else:
+        step = lambda shared: _score(shared, word_bits, id_type)
+        found = by_chunk.groupBy("chunk").cogroup(answers).applyInArrow(_with_answers(context.broadcast(model), step), shape)
+    found = written(found, "scores")
     scored = found.where("n_tokens is not null").select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score")
     if not model["complete"]:
         asked = found.where("n_tokens is null").select("range", "rows", "keys")

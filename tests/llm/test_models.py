@@ -143,6 +143,18 @@ def test_small_filters_hold_the_frequent(docs):
     assert np.isfinite(little.score).all() and (everything.base_score.sum() - little.base_score.sum()) == pytest.approx(0)
 
 
+@pytest.mark.parametrize("frequent", [1 << 20, 4])
+def test_filters_of_any_size_give_the_same_scores(docs, frequent):
+    """Broadcast, and joined by segments because it is beyond the bound."""
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    broadcast, joined = (
+        lm.score(docs, held, most_filter_bytes=n, most_frequent=frequent, tokens_a_range=100).toPandas().sort_values("row", ignore_index=True) for n in (1 << 20, 100))
+    assert len(joined) == len(broadcast) == docs.count()
+    for c in ("row", "held_out", "n_tokens", "n_known"):
+        assert (joined[c] == broadcast[c]).all()
+    assert np.allclose(joined.base_score, broadcast.base_score, rtol=0, atol=1e-9) and np.allclose(joined.score, broadcast.score, rtol=0, atol=1e-9)
+
+
 def test_pairs_predict_unseen_texts(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = lm.score(docs, F.crc32(F.col("doc_id").cast("string")) % 7 == 2).where("held_out").toPandas()
