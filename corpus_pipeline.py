@@ -1,10 +1,12 @@
 """A training corpus from raw documents: quality, exact and near duplicates, mixing, packing.
 
 Each stage takes what its predecessor kept, stored as Parquet and read back, and all
-but the last return the columns of ``documents``. Rows are told apart by their place
-in the stored table, so null or repeated ids lose nothing.
+but the last return the columns of ``documents``. Rows are told apart by a number
+stored with them, so null or repeated ids lose nothing, however a table is split.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
@@ -23,20 +25,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return selected(docs, quality_model(docs, spark, sf_dir))
 
 
-def _kept(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` without the rows that ``found`` drops."""
-    dropped = written(found.where("not kept").select(F.col("row").alias("_row")), "dropped")
-    return without(docs.withColumn("_row", F.monotonically_increasing_id()), dropped, "_row").drop("_row")
+def _kept(docs: DataFrame, duplicates: Callable[..., DataFrame]) -> DataFrame:
+    """``docs`` without the rows that ``duplicates`` drops; both read the same stored numbers."""
+    docs = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    dropped = written(duplicates(docs, row_col="_row").where("not kept").select(F.col("row").alias("_row")), "dropped")
+    return without(docs, dropped, "_row").drop("_row")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal normalised texts."""
-    return _kept(docs, exact_duplicates(docs))
+    return _kept(docs, exact_duplicates)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a similarity of 0.8 on five-word shingles."""
-    return _kept(docs, near_duplicates(docs))
+    return _kept(docs, near_duplicates)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

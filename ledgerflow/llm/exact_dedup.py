@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerflow.llm.store import SALTS, small_batches, written
+from ledgerflow.llm.store import SALTS, row_number, small_batches, written
 from ledgerflow.llm.words import IS_SPACE, flat, mix, slices
 
 REACH = 32  # bytes that decide on a cut
@@ -145,20 +145,24 @@ def _ordinals(texts: DataFrame, clashing: DataFrame, digest_bits: int) -> DataFr
     )
 
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bits: int = 8 * DIGEST_BYTES) -> DataFrame:
+def exact_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bits: int = 8 * DIGEST_BYTES, row_col: str | None = None,
+) -> DataFrame:
     """One row per row of ``docs``: ``row, doc_id, keep_id, group_size, kept, text_sha256, n_bytes, n_chunks``.
 
     Of equal normalised texts the row with the smallest id stays, null ids last;
     of rows with that same id, exactly one stays. Null texts count as empty, and
     all empty texts are equal. A table without rows gives none. Other columns are
-    not read, so their names can't clash. ``row`` is ``monotonically_increasing_id``
-    of ``docs``. ``digest_bits`` shortens the digests, for tests of clashes.
+    not read, so their names can't clash. ``row`` is the column ``row_col``, whole
+    numbers of which no two are equal, or else ``monotonically_increasing_id`` of this
+    scan, which another scan needn't give again. ``digest_bits`` shortens the digests,
+    for tests of clashes.
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     recipes = written(
-        texts.withColumn("row", F.monotonically_increasing_id())
+        docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), row_number(row_col).alias("row"))
         .mapInArrow(_recipes(digest_bits), f"row long, doc_id {kind}, recipe binary, text_sha256 string, n_bytes long"),
         "recipes",
     )

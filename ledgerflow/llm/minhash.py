@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerflow.llm.graph import components, labelled
-from ledgerflow.llm.store import checked_broadcast, small_batches, written
+from ledgerflow.llm.store import checked_broadcast, row_number, small_batches, written
 from ledgerflow.llm.words import flat, mix, shingle_hashes, slices, word_hashes
 
 BANDS, ROWS = 24, 6  # at a similarity of 0.8 a pair shares a band with probability 0.999, at 0.85 with 0.99998
@@ -114,6 +114,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: ``row, doc_id, n_shingles, component_id, kept``.
 
@@ -121,13 +122,14 @@ def near_duplicates(
     words is one shingle, and one without words or null has none and links with
     nothing. ``component_id`` is the smallest id reachable by links, null ids last;
     the row that has it stays, exactly one of repeated rows. Other columns are not read.
-    ``row`` is ``monotonically_increasing_id`` of ``docs``.
+    ``row`` is the column ``row_col``, whole numbers of which no two are equal, or else
+    ``monotonically_increasing_id`` of this scan, which another scan needn't give again.
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     known = written(
-        texts.withColumn("row", F.monotonically_increasing_id())
+        docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), row_number(row_col).alias("row"))
         .mapInArrow(_sketches(shingle, bands, rows), f"row long, doc_id {kind}, n_shingles long, print binary, bands array<long>"),
         "sketches",
     )

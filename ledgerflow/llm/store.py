@@ -7,7 +7,7 @@ of this machine.
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerflow.operators.size import shared_folder
 
@@ -35,6 +35,11 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
 
 
+def row_number(column: str | None) -> Column:
+    """The numbers stored in ``column``, or such as hold within this one scan."""
+    return F.col(column).cast("long") if column else F.monotonically_increasing_id()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` evaluated once, as a Parquet table read back."""
     path = folder(df.sparkSession, name)

@@ -271,6 +271,35 @@ def test_pipeline_stages_on_odd_rows(docs, no_docs, spark):
             assert name == "packing" or (out.columns == frame.columns and out.count() <= frame.count())
 
 
+@pytest.mark.parametrize("stage", ["exact", "near"])
+def test_rows_are_found_again_in_a_scan_split_anew(spark, monkeypatch, stage):
+    """As when executors come or go between the operator's scan and the one that drops its rows."""
+    import corpus_pipeline as pipeline
+
+    texts = [f"{k} " * 20 + " ".join(f"w{k}x{j}" for j in range(40)) for k in range(40)]
+    rows = [(k, texts[k % 40], "en", "src0", 1) for k in range(60)]
+    stored = written(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(12), "split")
+    operator, names = getattr(pipeline, f"{stage}_duplicates"), ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+
+    def then_split_anew(*args, **options):
+        found = operator(*args, **options)
+        found = written(found, "found")
+        for n in names:
+            spark.conf.set(n, "16k")
+        return found
+
+    spark.conf.set(names[0], "1g")
+    spark.conf.set(names[1], "64m")
+    monkeypatch.setattr(pipeline, f"{stage}_duplicates", then_split_anew)
+    try:
+        kept = [r.doc_id for r in getattr(pipeline, f"{stage}_dedup")(spark, stored, SF).collect()]
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+    assert sorted(kept) == list(range(40))
+
+
 def test_the_library_stands_without_this_subpackage():
     """No module outside names it, and the entry module imports where it is absent."""
     home = Path(queries.HOME)
