@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerflow.llm.exact_dedup import exact_duplicates
+from ledgerflow.llm.filter_audit import audit, survivors
 from ledgerflow.llm.langid import fit_languages, held_out, identify
 from ledgerflow.llm.lattice import near_vectors
 from ledgerflow.llm.lm import score
@@ -18,6 +19,7 @@ from ledgerflow.llm.minhash import near_duplicates
 from ledgerflow.llm.mixing import fitting_sql, mixed
 from ledgerflow.llm.packing import checksums, pack
 from ledgerflow.llm.quality import fit_ratings, grades_of, rate
+from ledgerflow.llm.search import ranked
 from ledgerflow.llm.token_counts import token_counts
 from ledgerflow.llm.warc import convert, read_warc, write_arc
 
@@ -149,6 +151,75 @@ from documents d left join sizes using (doc_id)
 join (select doc_id, min(other) as low from reached group by doc_id) using (doc_id)
 """
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(survivors(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+OP12_SQL = r"""
+with texts as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+    doc_id > min(doc_id) over (partition by coalesce(text, '')) as repeated
+  from documents
+),
+failures as (
+  select part, doc_id in (select doc_id from labels where quality = 1) as good, doc_id in (select doc_id from labels where toxic = 1) as toxic,
+    cast(len(w) < 50 as int) + 2 * cast(100 * len(list_distinct(w)) < 65 * len(w) as int)
+    + 4 * cast(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) as int)
+    + 8 * cast(regexp_matches(t, '[#$%&*|]') as int) + 16 * cast(repeated as int) as f
+  from texts
+),
+counts as (select part, f, count(*) as n, count(*) filter (good) as g, count(*) filter (toxic) as x from failures group by all),
+filters as (select unnest(['A', 'B', 'C', 'D', 'E']) as letter, unnest([1, 2, 4, 8, 16]) as bit),
+steps as (
+  select a.letter || b.letter || c.letter || d.letter || e.letter as filter_order, unnest([1, 2, 3, 4, 5]) as step,
+    unnest([a.bit, b.bit, c.bit, d.bit, e.bit]) as bit,
+    unnest([0, a.bit, a.bit + b.bit, a.bit + b.bit + c.bit, a.bit + b.bit + c.bit + d.bit]) as before
+  from filters a, filters b, filters c, filters d, filters e where a.bit | b.bit | c.bit | d.bit | e.bit = 31
+),
+found as (
+  select part, filter_order, step, bit, coalesce(sum(n) filter (f & (before | bit) = 0), 0) as kept,
+    coalesce(sum(n) filter (f & before = 0 and f & bit > 0), 0) as removed,
+    coalesce(sum(n) filter (f & before > 0 and f & bit > 0), 0) as redundant,
+    coalesce(sum(n) filter (f = bit), 0) as unique_fails,
+    coalesce(sum(g) filter (f & before = 0 and f & bit > 0), 0) as good_lost,
+    coalesce(sum(x) filter (f & before = 0 and f & bit > 0), 0) as toxic_lost
+  from counts, steps group by all
+)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed, cast(redundant as bigint) as redundant,
+  cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+  cast(sum(removed) over (partition by part, bit) as bigint) as shapley
+from found
+"""
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+with words as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents
+),
+asked as (
+  select item_id, term, count(*) as times from (
+    select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark
+  ) group by all
+),
+sizes as (select doc_id, count(*) as n from words group by doc_id),
+whole as (select count(*) as docs, cast(sum(n) as bigint) as length from sizes),
+postings as (select term, doc_id, count(*) as tf from words where term in (select term from asked) group by all),
+weights as (select term, cast(floor(1000 * ln((2 * max(docs) + 2) / (2 * count(*) + 1))) as bigint) as w from postings, whole group by term),
+scored as (
+  select item_id, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // length)))) as bigint) as score
+  from asked join postings using (term) join weights using (term) join sizes using (doc_id), whole group by all
+),
+placed as (select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank from scored where score > 0)
+select item_id, rank, doc_id, score from placed where rank <= 10
+"""
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_packing": (op1_packing, None),
     "op2_lattice": (op2_lattice, OP2_SQL),
@@ -160,4 +231,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_minhash": (op8_minhash, OP8_SQL),
     "op9_lm_scoring": (op9_lm_scoring, None),
     "op10_quality": (op10_quality, None),
+    "op12_filter_audit": (op12_filter_audit, OP12_SQL),
+    "op13_search": (op13_search, OP13_SQL),
 }
