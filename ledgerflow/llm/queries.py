@@ -21,6 +21,7 @@ from ledgerflow.llm.packing import checksums, pack
 from ledgerflow.llm.quality import fit_ratings, grades_of, rate
 from ledgerflow.llm.search import ranked
 from ledgerflow.llm.token_counts import token_counts
+from ledgerflow.llm.url_rules import MIN_CONFIDENCE, MIN_SUPPORT, TOKENS_A_URL, judged
 from ledgerflow.llm.warc import convert, read_warc, write_arc
 
 HOME = str(Path(__file__).resolve().parents[2])
@@ -151,6 +152,73 @@ from documents d left join sizes using (doc_id)
 join (select doc_id, min(other) as low from reached group by doc_id) using (doc_id)
 """
 
+# The longest rule that fits decides.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+# Holds while the bounded sample takes all labelled urls: up to 100,000 of each label.
+OP11_SQL = rf"""
+with recursive parts as (
+  select page_id, row_number() over () as id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as plain,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path
+  from pages
+),
+given as (select unnest(['net', 'example.net', 'example.com', 'org']) as h, unnest(['/', '/en/', '/de/', '/fr/']) as p, unnest(['block', 'allow', 'block', 'allow']) as said),
+ruled as (
+  select id, max_by(h || p, length(h || p)) as rule, max_by(said, length(h || p)) as label
+  from parts join given on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by id
+),
+words as (
+  select id, 's:' as kind, unnest([regexp_extract(plain, '(?s)^(.*?)://', 1)]) as word from parts
+  union all select id, 'h:', unnest(regexp_split_to_array(host, '[.-]')) from parts
+  union all select id, 'p:', unnest(regexp_split_to_array(translate(path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[/._-]')) from parts
+  union all select id, 'q:', unnest(regexp_extract_all(plain, '[?&]([^=&#]*)', 1)) from parts
+  union all select id, 'f:', 'fragment' from parts where contains(plain, '#')
+),
+tokens as (select distinct id, kind || case when regexp_matches(word, '^[0-9]+$') then '#' else word end as token from words where word <> ''),
+totals as (select count(*) as n, count(*) filter (label = 'block') as b from ruled),
+least_count as (select cast(ceil({MIN_SUPPORT!r} * cast(n as double)) as bigint) as least from totals),
+held as (
+  select token, count(*) as n, abs(count(*) filter (label = 'block') * max(t.n) - count(*) * max(t.b)) as tells
+  from tokens join ruled using (id), totals t group by token
+),
+telling as (select token, n, tells from held, least_count where tells > 0 and n >= least),
+mined as (
+  select id, token, label from tokens join ruled using (id) join telling using (token)
+  qualify row_number() over (partition by id order by tells desc, token) <= {TOKENS_A_URL}
+),
+sets as (
+  select [token] as items, list(id) as ids from mined group by token having count(*) >= (select least from least_count)
+  union all
+  select list_append(items, token), list_intersect(ids, own)
+  from sets join (select token, list(id) as own from mined group by token) on token > items[-1]
+  where len(list_intersect(ids, own)) >= (select least from least_count)
+),
+said as (select items, len(ids) as n, label, len(list_filter(ids, lambda i: list_contains(named, i))) as m
+  from sets, (select label, list(id) as named from ruled group by label)),
+rules as (
+  select items, label, cast(m as double) / n as confidence, cast(m as double) / (select n from totals) as support
+  from said where m >= (select least from least_count) and cast(m as double) / n >= {MIN_CONFIDENCE!r}
+),
+pruned as (
+  select * from rules r where not exists (select 1 from rules q where q.label = r.label and len(q.items) < len(r.items)
+    and list_has_all(r.items, q.items) and q.confidence >= r.confidence)
+),
+sets_of as (select id, list(token) as own from tokens group by id),
+decided as (
+  select id, label from sets_of s join pruned r on list_has_all(own, items)
+  qualify row_number() over (partition by id order by confidence desc, support desc, len(items), items) = 1
+)
+select page_id, host, path, rule, coalesce(r.label, d.label, 'allow') as verdict
+from parts left join ruled r using (id) left join decided d using (id)
+"""
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(survivors(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
@@ -231,6 +299,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_minhash": (op8_minhash, OP8_SQL),
     "op9_lm_scoring": (op9_lm_scoring, None),
     "op10_quality": (op10_quality, None),
+    "op11_url_rules": (op11_url_rules, OP11_SQL),
     "op12_filter_audit": (op12_filter_audit, OP12_SQL),
     "op13_search": (op13_search, OP13_SQL),
 }
