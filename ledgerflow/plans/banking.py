@@ -5,6 +5,7 @@ are those of the option builders.
 """
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Row, SparkSession
 
@@ -17,6 +18,8 @@ from ledgerflow.sources.jdbc import (
 from ledgerflow.sources.lake import bucket_uri
 from ledgerflow.sources.warehouse import SNOWFLAKE, read_warehouse_table, snowflake_options
 
+LOOKBACK_DAYS = 3  # how late rows may arrive with an older change date
+
 
 def customers_from_oracle(
     spark: SparkSession,
@@ -64,15 +67,19 @@ def run_banking(
     customers: dict | None = None,
     accounts: dict | None = None,
     ingested_at: str | None = None,
+    at_once: int = 3,
+    skip_committed: bool = False,
 ) -> dict[str, Row]:
-    """Customers, accounts, then any ``further`` loads, into the bucket of ``aws``.
+    """Customers, accounts and any ``further`` loads, into the bucket of ``aws``, ``at_once`` side by side.
 
     ``customers`` and ``accounts`` are arguments of ``customers_from_oracle`` and
     ``accounts_from_snowflake``: tables, how to split the scan, the connector's format.
+    Both read LOOKBACK_DAYS before their mark again and write changed rows only.
     """
     loads = [
         customers_from_oracle(spark, config, **(customers or {})),
         accounts_from_snowflake(spark, config, **(accounts or {})),
         *further,
     ]
-    return run_all(spark, loads, bucket_uri(config["aws"]), ingested_at)
+    loads[:2] = [replace(load, changed_only=True, lookback_days=LOOKBACK_DAYS) for load in loads[:2]]
+    return run_all(spark, loads, bucket_uri(config["aws"]), ingested_at, at_once=at_once, skip_committed=skip_committed)

@@ -1,16 +1,20 @@
 """Incremental loads into a new lake on the shared storage."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ledgerflow.plans import loads
 from ledgerflow.plans.incremental import (
-    changed_since, high_waters, read_watermark, update_watermark,
+    changed_since, high_waters, read_marks, read_watermark, update_watermark,
 )
+from ledgerflow.plans.snapshots import read_current, take_snapshot
 from ledgerflow.queries import account, customer
 from ledgerflow.queries.inputs import AS_OF, LATER, NEXT_DAY, STAMP, derived, oracle, scratch, table
-from ledgerflow.schemas import WATERMARK
 
 SINCE = "2023-12-25"
+THIRD_DAY = "2024-01-03 00:00:00"
+LOOKBACK = 10
 
 
 def _customers(spark, sf_dir, block="customers_raw"):
@@ -50,10 +54,11 @@ def _load_transactions(spark, sf_dir):
     return _load(spark, "load_transactions", _transactions(spark, sf_dir))
 
 
-def _two_batches(spark, sf_dir, name, second):
+def _two_batches(spark, sf_dir, name, second, between=lambda spark, load, base: None):
     """A first batch, then one of the same source some time later, when rows have moved."""
     base = scratch(spark, name)
     loads.run_load(spark, _customers(spark, sf_dir), base, STAMP)
+    between(spark, _customers(spark, sf_dir), base)
     load = _customers(spark, sf_dir, "customers_second")
     report = loads.run_load(spark, load, base, second)
     return base, load, report
@@ -86,6 +91,50 @@ def _load_again(spark, sf_dir):
     return loads.read_table(spark, base, load)
 
 
+def _schema_change(spark, sf_dir):
+    """Three batches, the second one with a column more, the third one with a column less."""
+    base = scratch(spark, "load_schema_change")
+    first, second = _customers(spark, sf_dir), _customers(spark, sf_dir, "customers_second")
+    loads.run_load(spark, first, base, STAMP)
+    wider = lambda rows, stamp: second.transform(rows, stamp).withColumn("is_risk", F.col("credit_rating") == "Poor")
+    loads.run_load(spark, replace(second, transform=wider), base, NEXT_DAY)
+    narrower = lambda rows, stamp: second.transform(rows, stamp).drop("segment")
+    loads.run_load(spark, replace(second, transform=narrower), base, THIRD_DAY)
+    return loads.read_table(spark, base, first)
+
+
+def _unchanged(spark, sf_dir):
+    """A batch, the same source again, which writes nothing, and the source with moved rows."""
+    base = scratch(spark, "load_unchanged")
+    for stamp, block in ((STAMP, "customers_raw"), (LATER, "customers_raw"), (NEXT_DAY, "customers_second")):
+        load = replace(_customers(spark, sf_dir, block), changed_only=True, lookback_days=LOOKBACK)
+        loads.run_load(spark, load, base, stamp)
+    return loads.read_table(spark, base, load)
+
+
+def _late(spark, sf_dir):
+    """A batch without every thirteenth customer, who then arrive with their old change dates."""
+    base = scratch(spark, "incremental_late")
+    for stamp, late in ((STAMP, 0), (LATER, 1)):
+        load = _customers(spark, sf_dir)
+        rows = load.source().filter((F.col("customer_id").cast("bigint") % 13 != 0) | F.lit(bool(late)))
+        loads.run_load(spark, replace(load, source=lambda rows=rows: rows, changed_only=True, lookback_days=LOOKBACK), base, stamp)
+    return loads.read_table(spark, base, load)
+
+
+def _snapshot(spark, sf_dir):
+    """The latest rows from a snapshot of the first batch and the second batch."""
+    base, load, _ = _two_batches(spark, sf_dir, "customer_snapshot", NEXT_DAY, take_snapshot)
+    return read_current(spark, base, load)
+
+
+def _snapshot_again(spark, sf_dir):
+    """The latest rows of two batches from the second of two snapshots alone."""
+    base, load, _ = _two_batches(spark, sf_dir, "customer_snapshot_again", NEXT_DAY, take_snapshot)
+    take_snapshot(spark, load, base)
+    return read_current(spark, base, load)
+
+
 def _bad(spark, sf_dir, name):
     base = scratch(spark, name)
     load = _customers(spark, sf_dir, "customers_bad")
@@ -128,7 +177,7 @@ SHOWN = {
 def _run_all(spark, sf_dir):
     base = scratch(spark, "run_all_loads")
     every = [build(spark, sf_dir) for build in (_customers, _accounts, _transactions)]
-    loads.run_all(spark, every, base, STAMP)
+    loads.run_all(spark, every, base, STAMP, at_once=3)
     rows = [
         loads.read_table(spark, base, load).select(
             F.lit(load.entity).alias("entity"), F.col(key).cast("string").alias("key"), F.col(kind).alias("kind"),
@@ -143,7 +192,7 @@ def _watermark_update(spark, sf_dir):
     base = scratch(spark, "watermark_update")
     for build in (_customers, _accounts):
         loads.run_load(spark, build(spark, sf_dir), base, STAMP)
-    return high_waters(spark.read.schema(WATERMARK).parquet(f"{base}/{loads.WATERMARKS}"))
+    return high_waters(read_marks(spark, f"{base}/{loads.WATERMARKS}"))
 
 
 def _watermark_read(spark, sf_dir):
@@ -180,6 +229,19 @@ def _second_batch_sql(stamp):
 FROM ({SECOND_SQL}), (SELECT max(last_updated) AS newest FROM customers_raw)"""
 
 
+SCHEMA_CHANGE_SQL = f"""SELECT *, CAST(NULL AS BOOLEAN) AS is_risk FROM ({CUSTOMERS_SQL})
+UNION ALL SELECT * REPLACE (TIMESTAMP '{NEXT_DAY}' AS ingestion_timestamp, DATE '{NEXT_DAY[:10]}' AS ingestion_date), credit_rating = 'Poor' AS is_risk
+FROM ({SECOND_SQL}) WHERE last_updated >= (SELECT max(last_updated) FROM customers_raw)
+UNION ALL SELECT * REPLACE (TIMESTAMP '{THIRD_DAY}' AS ingestion_timestamp, DATE '{THIRD_DAY[:10]}' AS ingestion_date, NULL AS segment), NULL AS is_risk
+FROM ({SECOND_SQL}) WHERE last_updated >= (SELECT max(last_updated) FROM customers_second)"""
+UNCHANGED_SQL = f"""SELECT * FROM ({CUSTOMERS_SQL})
+UNION ALL SELECT * REPLACE (TIMESTAMP '{NEXT_DAY}' AS ingestion_timestamp, DATE '{NEXT_DAY[:10]}' AS ingestion_date)
+FROM ({SECOND_SQL}) WHERE CAST(customer_id AS BIGINT) % 10 = 0"""
+LATE_SQL = f"""SELECT * FROM ({CUSTOMERS_SQL}) WHERE CAST(customer_id AS BIGINT) % 13 <> 0
+UNION ALL SELECT * REPLACE (TIMESTAMP '{LATER}' AS ingestion_timestamp, DATE '{LATER[:10]}' AS ingestion_date)
+FROM ({CUSTOMERS_SQL}) WHERE CAST(customer_id AS BIGINT) % 13 = 0 AND last_updated >= (
+  SELECT max(last_updated) - {LOOKBACK} FROM customers_raw WHERE CAST(customer_id AS BIGINT) % 13 <> 0)"""
+
 MARKED_SQL = """SELECT *, CASE WHEN customer_id IS NULL THEN 'missing_required'
   WHEN row_number() OVER (PARTITION BY customer_id ORDER BY last_updated DESC, segment) > 1 THEN 'not_latest' END AS reason
 FROM customers_bad"""
@@ -214,6 +276,11 @@ SELECT 'accounts', max(last_updated) FROM accounts_raw"""),
     "load_customers": (load_customers, oracle(CUSTOMERS_SQL)),
     "load_customers_twice": (_load_twice, oracle(_second_batch_sql(LATER))),
     "load_customers_again": (_load_again, oracle(SECOND_SQL)),
+    "load_schema_change": (_schema_change, oracle(SCHEMA_CHANGE_SQL)),
+    "load_unchanged": (_unchanged, oracle(UNCHANGED_SQL)),
+    "incremental_late": (_late, oracle(LATE_SQL)),
+    "customer_snapshot": (_snapshot, oracle(_second_batch_sql(NEXT_DAY))),
+    "customer_snapshot_again": (_snapshot_again, oracle(_second_batch_sql(NEXT_DAY))),
     "load_customers_rejected": (_load_rejected, oracle(REJECTED_SQL)),
     "load_report": (_load_report, oracle(REPORT_SQL)),
     "load_accounts_report": (_accounts_report, oracle(ACCOUNTS_REPORT_SQL)),

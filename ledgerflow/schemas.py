@@ -4,7 +4,7 @@ A reader can never promise "not null", so nullability is checked as data (see
 ``operators.checks``) and the schemas here only fix names, order and types.
 """
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 
 # The input contract of the customer transform.
@@ -77,6 +77,23 @@ WATERMARK = (
     .add("rejected_missing", "long")
     .add("rejected_not_latest", "long")
     .add("rejected_lossy", "long")
+    .add("unchanged", "long")
+    .add("sequence", "long")
+    .add("schema", "string")
+    .add("rejected_folder", "string")
+    .add("rejected_schema", "string")
+    .add("digest_folder", "string")
+)
+
+# Commits of snapshots: which batches each holds, and its folders with their schemas.
+SNAPSHOT = (
+    StructType()
+    .add("entity", "string")
+    .add("sequence", "long")
+    .add("buckets", "integer")
+    .add("upto", "string")
+    .add("batches", "string")
+    .add("folders", ArrayType(StructType().add("bucket", "integer").add("folder", "string").add("schema", "string")))
 )
 
 CUSTOMER_KEYS = ["customer_id"]

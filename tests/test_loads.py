@@ -177,10 +177,12 @@ def test_clean_rows_leave_no_rejected_table(spark, lake):
 def test_too_many_rejected_rows_fail_the_load(spark, lake):
     rows = customers(spark, [1, 2]).union(customers(spark, [3]).withColumn("customer_id", F.lit(None).cast("string")))
     load = replace(customer_load(lambda: rows), most_rejected=0.1)
-    with pytest.raises(ValidationFailed):
+    with pytest.raises(ValidationFailed, match="banking/rejected/customers/batch=") as failed:
         run_load(spark, load, lake, FIRST)
     assert published(spark, lake) is None
-    assert read_rejected(spark, lake, "customers").count() == 1
+    assert read_rejected(spark, lake, "customers") is None  # nothing was committed
+    folder = str(failed.value).rsplit(" ", 1)[1]
+    assert spark.read.parquet(lake_path(lake, folder)).count() == 1
 
 
 def test_values_that_do_not_fit_are_rejected(spark, lake):
