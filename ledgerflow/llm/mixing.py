@@ -1,13 +1,12 @@
 """Mixing to target weights by iterative proportional fitting, in DataFrame functions only.
 
 Token weights of the cells source x language x topic are raked to the target shares of
-each of the three marginals in turn, until all hold. A document is kept with a
-probability in proportion to its cell's ratio of fitted to natural weight, calibrated
-so that a given share of all tokens is kept. Unless repeats are asked for, a cell that
-would have to give more than it has is kept whole and the others make up for it, so
-such cells stay below their targets. With ``repeats``, a document comes as often as its
-cell's ratio says and the sample has the target shares. A document's draw depends on
-its id alone.
+each of the three marginals in turn, until all hold. A document's expected copies are its
+cell's ratio of fitted to natural weight, calibrated so that the sample has a given share of
+all tokens: as many copies as the whole part says, and one more with the probability of the
+rest. So the sample has the target shares, also where a cell would have to give more than
+it has. Without repeats a document is kept at most once: such a cell is kept whole, the
+others make up for it, and it stays below its target. A document's draw depends on its id alone.
 
 Values without a target of their own form one group that keeps its natural share, so
 the number of cells is bounded by the targets given, whatever the corpus holds.
@@ -21,7 +20,8 @@ from ledgerflow.llm.store import written
 
 OTHER = "(other)"
 ROUNDS = 10
-KEPT = 0.75  # share of all tokens in the sample
+KEPT = 1.0  # tokens in the sample, as a share of all: what is at its target share comes once
+KEPT_ONCE = 0.75  # the same without repeats, where it has to be less than all
 ROUNDS_A_TABLE = 5  # the plan of so many rounds is run before the next is built on its result
 MOST_CELLS = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
@@ -75,7 +75,7 @@ def calibrated(cells: DataFrame, kept: float) -> DataFrame:
     return cells.withColumn("probability", chance).drop("_ratio", "_scale", "_rank")
 
 
-def fitted_cells(tokens: DataFrame, targets: dict[str, dict[str, float]], rounds: int = ROUNDS, kept: float = KEPT) -> DataFrame:
+def fitted_cells(tokens: DataFrame, targets: dict[str, dict[str, float]], rounds: int = ROUNDS, kept: float = KEPT_ONCE) -> DataFrame:
     """``source, lang, topic, natural, fitted, probability`` from ``source, lang, topic, tokens``.
 
     The number of cells is at most the product of the targets' sizes, so the rounds
@@ -108,7 +108,7 @@ def draw(key: Column) -> Column:
 
 def mixed(
     docs: DataFrame, targets: dict[str, dict[str, float]], id_col: str = "doc_id", text_col: str = "text",
-    source: str = "source", lang: str = "lang", topic: str = TOPICS, rounds: int = ROUNDS, kept: float = KEPT,
+    source: str = "source", lang: str = "lang", topic: str = TOPICS, rounds: int = ROUNDS, kept: float | None = None,
     repeats: bool = False,
 ) -> DataFrame:
     """All rows and columns of ``docs`` and a struct ``_mix(source, lang, topic, tokens, probability, sampled)``.
@@ -119,10 +119,12 @@ def mixed(
     kept or dropped together; a null id draws by its text. ``docs`` may hold columns
     of any names but ``_mix`` and such as begin with ``_cell_``.
 
-    With ``repeats`` the struct also has ``copies``: how often the row is in a sample of
-    ``kept`` of all tokens in which the target shares hold, a whole number whose
-    expectation is ``kept`` times the cell's ratio of fitted to natural weight.
+    With ``repeats`` the struct also has ``expected``, which is ``kept`` times the cell's ratio of
+    fitted to natural weight, and ``copies``: how often the row is in a sample of ``kept``
+    of all tokens in which the target shares hold, a whole number with that expectation.
+    ``kept`` is KEPT with repeats and KEPT_ONCE without, if not given.
     """
+    kept = (KEPT if repeats else KEPT_ONCE) if kept is None else kept
     text = F.col(text_col)
     with_words = docs.withColumn("_mix", F.struct(words(text).alias("tokens")))
     topic_value = F.expr(topic.format(words="_mix.tokens"))
@@ -141,7 +143,7 @@ def mixed(
     if repeats:
         expected = F.coalesce("_cell_expected", F.lit(1.0))
         more = draw(key) < expected - F.floor(expected)
-        drawn.append((F.floor(expected) + more.cast("long")).alias("copies"))
+        drawn += [expected.alias("expected"), (F.floor(expected) + more.cast("long")).alias("copies")]
     return joined.withColumn("_mix", F.struct("_mix.*", *drawn)).drop(*cell.columns)
 
 
@@ -157,7 +159,7 @@ def repeated(docs: DataFrame, targets: dict[str, dict[str, float]], **columns) -
 
 
 def fitting_sql(targets: dict[str, dict[str, float]], rounds: int = ROUNDS, kept: float = KEPT) -> str:
-    """DuckDB SQL for ``mixed`` over ``documents``."""
+    """DuckDB SQL for the expected and drawn copies of ``mixed`` over ``documents``."""
     def quoted(values) -> str:
         return ", ".join(f"'{v}'" for v in values)
 
@@ -187,12 +189,12 @@ started as (
   from cells c join {share('source')} s on source = s.value join {share('lang')} l on lang = l.value join {share('topic')} t on topic = t.value
 ),
 {", ".join(steps)},
-ranked as (select *, fitted / weight as ratio, row_number() over w as place,
-    ({kept!r} - coalesce(sum(weight) over w - weight, 0)) / (sum(fitted) over () - coalesce(sum(fitted) over w - fitted, 0)) as scale
-  from {last} window w as (order by fitted / weight desc, {", ".join(CELL)} rows unbounded preceding)),
-chosen as (select min_by(scale, place) as scale from ranked where scale * ratio <= 1),
-final as (select {", ".join(CELL)}, least(1, coalesce(chosen.scale * ratio, 1)) as probability from ranked, chosen)
-select doc_id, source, lang, topic, tokens, round(coalesce(probability, 1), 9) as probability,
-  cast(('0x' || substr(md5(cast(doc_id as varchar)), 1, 13)) as bigint) / 4503599627370496 < coalesce(probability, 1) as sampled
-from keyed left join final using (source, lang, topic)
+final as (select {", ".join(CELL)}, {kept!r} * fitted / weight as expected from {last}),
+drawn as (
+  select doc_id, source, lang, topic, tokens, coalesce(expected, 1) as e,
+    cast(('0x' || substr(md5(cast(doc_id as varchar)), 1, 13)) as bigint) / 4503599627370496 as draw
+  from keyed left join final using (source, lang, topic)
+)
+select doc_id, source, lang, topic, tokens, round(e, 9) as expected, cast(floor(e) as bigint) + cast(draw < e - floor(e) as bigint) as copies
+from drawn
 """

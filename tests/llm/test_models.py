@@ -69,6 +69,33 @@ def test_features_do_not_depend_on_other_rows():
         assert together[0][lo:hi].tolist() == alone[0].tolist() and np.allclose(together[1][lo:hi], alone[1])
 
 
+def test_more_languages_than_are_learned(spark, monkeypatch):
+    """The most frequent ones are; each text is still answered, and rows in any order give one model."""
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 3)
+    rows = [(k, f"wort{k % 4} " * 20 + "abc", f"l{k % 4}") for k in range(80)] + [(100 + k, "dirty", f"rare {k}") for k in range(300)]
+    rows += [(0, "other text of the same row", "l0"), (0, "wort0 " * 3, "l0")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, model = langid.fit_languages(frame)
+    assert langs == ["l0", "l1", "l2"]
+    again = langid.fit_languages(frame.orderBy(F.desc("text")).repartition(7))
+    assert again[0] == langs and all(np.array_equal(a, b) for a, b in zip(model, again[1]))
+    assert langid.identify(frame, (langs, model)).count() == len(rows)
+
+
+def test_probabilities_are_those_of_the_model(spark):
+    """A plain re-computation, subword by subword, over whole texts."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    langs, (table, bias, level) = langid.fit_languages(docs.where(~langid.held_out()))
+    some = docs.where("doc_id < 120").select("doc_id", "text")
+    found = {r.doc_id: r for r in langid.identify(some, (langs, (table, bias, level))).collect()}
+    for r in some.collect():
+        (codes, shares), = langid.features(pa.array([r.text]))
+        logits = sum((s * table[c].astype(float) for c, s in zip(codes, shares)), np.zeros(len(langs))) + bias
+        p = np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum()
+        assert abs(found[r.doc_id].score - p.max()) < 1e-6 and found[r.doc_id].lang_pred == langs[p.argmax()]
+        assert found[r.doc_id].rejected == (p.max() < level)
+
+
 def test_quality_on_unseen_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     graded = quality.grades_of(labels)
