@@ -107,9 +107,10 @@ def _plain(content: bytes) -> bytes:
 def parse_arc(data: bytes):
     """Header fields and content of each record after the version record.
 
+    Only the first record of a file is a version record, whatever later urls look like.
     A length that reaches beyond the file is cut there, and the fields say so.
     """
-    at, names = 0, ARC_FIELDS[1].split()
+    at, names, first = 0, ARC_FIELDS[1].split(), True
     while at < len(data):
         end = data.find(b"\n", at)
         end = len(data) if end < 0 else end
@@ -122,7 +123,8 @@ def parse_arc(data: bytes):
         if length < 0:
             raise ValueError(f"no ARC header line: {line[:80]!r}")
         body, at = data[at:at + length], at + length
-        if line.startswith("filedesc:"):
+        version, first = first and line.startswith("filedesc:"), False
+        if version:
             said = body.decode("utf-8", "replace").split("\n")
             names = said[1].split() if len(said) > 1 and said[1].strip() else ARC_FIELDS[int(said[0][:1] or 1)].split()
             continue
