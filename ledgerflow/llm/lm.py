@@ -29,7 +29,7 @@ from ledgerflow.llm.words import flat, mix, slices, word_hashes
 END, START = np.uint64(0x1D8E4E27C47D124F), np.uint64(0x5851F42D4C957F2D)  # tokens that are no word
 STEP = 1.5  # ratio of two levels' counts
 LEVELS = 80
-PAIR_FROM = 2  # least count of a pair in the filter
+PAIR_FROM = 1  # least count of a pair in the filter: all of them
 PROBES, BITS_AN_ENTRY = 4, 16
 MOST_FILTER_BYTES = 128 << 20  # broadcast; a larger filter is joined
 MOST_FREQUENT = 1 << 20  # words whose exact counts are broadcast
@@ -115,7 +115,7 @@ def _joined(column, kind) -> np.ndarray:
 
 
 def _merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """One range: distinct keys with their summed counts; pairs seen once stay out."""
+    """One range: distinct keys with their summed counts, those seen at least as often as the filter takes them."""
     kind, number = key[0].as_py(), key[1].as_py()
     keys, back = np.unique(_joined(table["keys"], np.uint64 if kind == "word" else np.uint32), return_inverse=True)
     counts = np.bincount(back, _joined(table["counts"], np.uint32)).astype(np.int64)
