@@ -102,28 +102,32 @@ def _sampled(batches):
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_sampled: int = MOST_SAMPLED):
     """A model from the rows of ``docs`` with a text, a language and an id.
 
-    At most ``most_sampled`` texts are read, as many of each language, those whose ids
-    have the smallest hashes. Their features, not their texts, come to the driver.
+    The MOST_LANGUAGES most frequent languages are learned, of equally frequent ones the first
+    by name; rarer values are never predicted. At most ``most_sampled`` texts are read, as
+    many of each language, those whose ids have the smallest hashes. Of texts with the same
+    id and language one is read, the same each time. Their features, not their texts,
+    come to the driver.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where("doc_id is not null and lang is not null and text is not null")
-    langs = [r["lang"] for r in rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()]
-    if len(langs) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    often = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    langs = [r["lang"] for r in often.collect()]
     if not langs:
         return [], None
-    chosen = bounded_sample(rows.select("doc_id", "lang"), "lang", "doc_id", most_sampled // len(langs))
+    rows = rows.where(F.col("lang").isin(langs))
+    chosen = bounded_sample(rows.select("doc_id", "lang"), "lang", "doc_id", max(1, most_sampled // len(langs)))
     kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in ("doc_id", "lang"))
     texts = rows.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"]).select("doc_id", "lang", "text")
-    found = texts.mapInArrow(_sampled, f"{kinds}, codes array<int>, shares array<float>").dropDuplicates(["doc_id", "lang"])
+    found = texts.mapInArrow(_sampled, f"{kinds}, codes array<int>, shares array<float>")
+    found = found.groupBy("doc_id", "lang").agg(F.min(F.struct("codes", "shares")).alias("f")).select("doc_id", "lang", "f.*")
     table = found.sort("doc_id", "lang").toArrow()
     langs.sort()
     number = {lang: k for k, lang in enumerate(langs)}
     own = []
     for batch in table.to_batches():
         codes, shares = batch.column("codes"), batch.column("shares")
-        own += [(codes.values.to_numpy()[lo:hi].astype(np.int64), shares.values.to_numpy()[lo:hi].astype(np.float64)) for lo, hi in zip(codes.offsets.to_pylist(), codes.offsets.to_pylist()[1:], strict=False)]
+        own += [(codes.values.to_numpy()[lo:hi], shares.values.to_numpy()[lo:hi]) for lo, hi in zip(codes.offsets.to_pylist(), codes.offsets.to_pylist()[1:], strict=False)]
     return langs, train(own, np.array([number[v] for v in table["lang"].to_pylist()]), len(langs))
 
 
