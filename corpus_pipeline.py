@@ -13,7 +13,7 @@ import public_tokenizers
 
 from ledgerflow.llm.exact_dedup import exact_duplicates
 from ledgerflow.llm.minhash import near_duplicates
-from ledgerflow.llm.mixing import sampled
+from ledgerflow.llm.mixing import repeated
 from ledgerflow.llm.packing import checksums, pack
 from ledgerflow.llm.quality import selected
 from ledgerflow.llm.queries import TARGETS, quality_model, table
@@ -27,9 +27,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _kept(docs: DataFrame, duplicates: Callable[..., DataFrame]) -> DataFrame:
     """``docs`` without the rows that ``duplicates`` drops; both read the same stored numbers."""
-    docs = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    dropped = written(duplicates(docs, row_col="_row").where("not kept").select(F.col("row").alias("_row")), "dropped")
-    return without(docs, dropped, "_row").drop("_row")
+    number = "_row"
+    while number.lower() in map(str.lower, docs.columns):
+        number += "_"
+    docs = written(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    dropped = written(duplicates(docs, row_col=number).where("not kept").select(F.col("row").alias(number)), "dropped")
+    return without(docs, dropped, number).drop(number)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +46,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample with the target shares of sources, languages and topics."""
-    return sampled(docs, TARGETS)
+    """As many tokens with the target shares of sources, languages and topics: documents
+    come as often as their cell's share asks, which may be not at all or repeatedly."""
+    return repeated(docs, TARGETS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
