@@ -28,10 +28,11 @@ def customers_from_oracle(
     predicates: Sequence[str] | None = None,
     partition_column: str | None = None,
     partitions: int = DEFAULT_PARTITIONS,
+    equal_rows: bool = False,
 ) -> Load:
     """The scan is split by ``predicates``, best one for each physical piece of the
     table (a partition, a range of row ids), or by ranges of ``partition_column``, an
-    indexed number or date. Without either it is split by the hash of the id: that
+    indexed number or date; with ``equal_rows`` these hold as many rows each. Without either it is split by the hash of the id: that
     always works, but the database reads the whole table once for each part.
     """
     options = oracle_options(config["oracle"])
@@ -39,7 +40,7 @@ def customers_from_oracle(
         predicates = modulo_predicates("ORA_HASH(customer_id)", partitions)
     return customer_load(lambda: read_jdbc_table(
         spark, options, table, predicates=predicates,
-        partition_column=partition_column, num_partitions=partitions,
+        partition_column=partition_column, num_partitions=partitions, **({"equal_rows": True} if equal_rows else {}),
     ))
 
 

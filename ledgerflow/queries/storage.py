@@ -10,8 +10,8 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ledgerflow.queries.inputs import derived, oracle, scratch, table
-from ledgerflow.sinks.lake import write_parquet
-from ledgerflow.sources.jdbc import bounds_query, modulo_predicates, subquery
+from ledgerflow.sinks.lake import write_clustered, write_parquet
+from ledgerflow.sources.jdbc import bounds_query, modulo_predicates, quantile_query, range_predicates, subquery
 from ledgerflow.sources.lake import read_parquet
 
 PARTS = 10
@@ -42,6 +42,26 @@ def _jdbc_predicates(spark, sf_dir):
     )
 
 
+# A key whose values lie far apart at its upper end, with ties and nulls.
+SKEWED_KEY = "CASE WHEN o_orderkey % 50 <> 0 THEN o_custkey * o_custkey END"
+
+
+def _jdbc_quantiles(spark, sf_dir):
+    """Rows of each part of a scan in equally many rows, and how many predicates its rows satisfy."""
+    keyed = table(spark, sf_dir, "orders").select(F.expr(SKEWED_KEY).alias("k"))
+    bounds = [row["bound"] for row in spark.sql(quantile_query("{t}", "k", PARTS), t=keyed).collect()]
+    hits = [F.expr(p) for p in range_predicates("k", bounds)]
+    part = F.coalesce(*(F.when(hit, i) for i, hit in enumerate(hits)))
+    matched = reduce(lambda a, b: a + b, [F.coalesce(hit.cast("int"), F.lit(0)) for hit in hits])
+    return keyed.groupBy(part.alias("part"), matched.alias("predicates_matched")).agg(F.count("*").alias("rows_in_part"))
+
+
+def _clustered(spark, sf_dir):
+    base = scratch(spark, "clustered")
+    write_clustered(derived(spark, sf_dir, "accounts_raw"), base, "accounts", ["customer_id", "open_date"], files=PARTS)
+    return read_parquet(spark, base, "accounts")
+
+
 def _roundtrip(spark, sf_dir):
     base = scratch(spark, "roundtrip")
     write_parquet(derived(spark, sf_dir, "accounts_raw"), base, "accounts")
@@ -87,6 +107,16 @@ QUERIES = {
         f"""SELECT CAST(o_orderkey % {PARTS} AS INTEGER) AS part, 1 AS predicates_matched,
   count(*) AS rows_in_part FROM orders GROUP BY o_orderkey % {PARTS}""",
     ),
+    "jdbc_quantile_predicates": (
+        _jdbc_quantiles,
+        f"""WITH keyed AS (SELECT {SKEWED_KEY} AS k FROM orders),
+pieces AS (SELECT k, ntile({PARTS}) OVER (ORDER BY k) AS piece FROM keyed WHERE k IS NOT NULL),
+cuts AS (SELECT DISTINCT min(k) AS cut FROM pieces GROUP BY piece),
+ranges AS (SELECT CAST(row_number() OVER (ORDER BY cut) - 1 AS INTEGER) AS part, cut, lead(cut) OVER (ORDER BY cut) AS upto FROM cuts)
+SELECT part, 1 AS predicates_matched, count(*) AS rows_in_part
+FROM keyed JOIN ranges ON k >= cut AND (upto IS NULL OR k < upto) OR k IS NULL AND part = 0 GROUP BY part""",
+    ),
+    "sink_clustered": (_clustered, oracle("SELECT * FROM accounts_raw")),
     "sink_parquet_roundtrip": (_roundtrip, oracle("SELECT * FROM accounts_raw")),
     "sink_parquet_partitioned": (_partitioned, oracle("SELECT * FROM customers_raw")),
     "sink_append": (

@@ -2,6 +2,7 @@
 
 import logging
 from collections.abc import Sequence
+from datetime import date, datetime
 from decimal import ROUND_CEILING, ROUND_FLOOR, Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,42 @@ def modulo_predicates(expression: str, parts: int) -> list[str]:
     return [f"{split[0]} OR {expression} IS NULL", *split[1:]]
 
 
+def quantile_query(table: str, column: str, parts: int) -> str:
+    """The least value of each of ``parts`` pieces with as many rows, in one round trip."""
+    ranked = f"SELECT {column} AS bound, NTILE({parts}) OVER (ORDER BY {column}) AS piece FROM {table} WHERE {column} IS NOT NULL"
+    return f"SELECT piece, MIN(bound) AS bound FROM ({ranked}) ranked GROUP BY piece"
+
+
+def literal(value) -> str:
+    """A number, date, timestamp or text in standard SQL."""
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return format(value, "f") if isinstance(value, Decimal) else str(value)
+
+
+def range_predicates(column: str, bounds: Sequence) -> list[str]:
+    """Disjoint predicates covering every row, nulls included, cut at the distinct ``bounds``.
+
+    With the bounds of ``quantile_query`` a part holds at most one piece's rows besides those of
+    its first value: a value with more rows than a piece has them in one part.
+    """
+    cuts = [literal(bound) for bound in sorted({b for b in bounds if b is not None})[1:]]
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(cuts, cuts[1:], strict=False)]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
+
+
+def read_quantiles(spark: SparkSession, options: dict, table: str, column: str, parts: int) -> list:
+    """The bounds of ``parts`` pieces with as many rows; so many values come to the driver."""
+    reader = spark.read.format("jdbc").options(**options)
+    return [row[1] for row in reader.option("query", quantile_query(table, column, parts)).load().collect()]
+
+
 def read_bounds(spark: SparkSession, options: dict, table: str, column: str) -> tuple | None:
     """Least and greatest value of ``column``; ``None`` if there is none."""
     reader = spark.read.format("jdbc").options(**options)
@@ -78,12 +115,15 @@ def read_jdbc_table(
     predicates: Sequence[str] | None = None,
     partition_column: str | None = None,
     num_partitions: int = DEFAULT_PARTITIONS,
+    equal_rows: bool = False,
 ) -> DataFrame:
     """Scan a table or a query, in one of three ways.
 
     By ``predicates``, one task each; by ranges of ``partition_column`` (a
     number, date or timestamp), whose outer ranges are open so no row is lost;
-    else in one task. Further filters on the result reach the database.
+    else in one task. Ranges are equally wide, or, with ``equal_rows``, hold as many
+    rows, whatever the column's values: the database ranks them first, once, and
+    texts will do as well. Further filters on the result reach the database.
     """
     if (table is None) == (query is None):
         raise ValueError("give either a table or a query")
@@ -91,6 +131,9 @@ def read_jdbc_table(
         raise ValueError("give either predicates or a partition column")
     relation = table if query is None else subquery(query)
     log.info("JDBC scan of %s", table or "a query")
+    if partition_column and equal_rows:
+        bounds = read_quantiles(spark, options, relation, partition_column, num_partitions)
+        predicates = range_predicates(partition_column, bounds)
 
     if predicates:
         properties = {key: value for key, value in options.items() if key != "url"}

@@ -8,6 +8,7 @@ from ledgerflow.schemas import CUSTOMER, CUSTOMER_OUTPUT
 
 AS_OF = date(2024, 1, 1)
 
+# One customer as the loads are given them.
 BASE = dict(
     customer_id="CUST1001", first_name="John", last_name="Doe", date_of_birth=date(1980, 5, 15),
     ssn="123-45-6789", email="john.doe@example.com", phone_number="555-123-4567",

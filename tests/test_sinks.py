@@ -1,10 +1,11 @@
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.plans.session import session_options
-from ledgerflow.sinks.lake import write_delta, write_parquet
+from ledgerflow.sinks.lake import write_clustered, write_delta, write_parquet
 from ledgerflow.sources.lake import read_parquet
 
 
@@ -85,3 +86,33 @@ def test_tasks_follow_the_data_up_to_a_limit():
     assert large["spark.sql.shuffle.partitions"] == str(-(-(10**12) // 2**28))
     assert huge["spark.sql.shuffle.partitions"] == "40000"
     assert int(huge["spark.sql.files.maxPartitionBytes"]) * 40000 >= 100 * 10**12
+
+
+def row_groups(folder, column, value):
+    """All row groups of a table, and those whose statistics leave a value possible."""
+    found = []
+    for file in files(folder):
+        meta = pq.ParquetFile(file).metadata
+        index = [meta.schema.column(k).name for k in range(meta.num_columns)].index(column)
+        found += [meta.row_group(g).column(index).statistics for g in range(meta.num_row_groups)]
+    return len(found), sum(s.min <= value <= s.max for s in found)
+
+
+def test_a_lookup_in_a_clustered_table_reads_few_row_groups(spark, lake):
+    rows = spark.range(200_000).select((F.xxhash64("id") % 5000).alias("key"), F.md5(F.col("id").cast("string")).alias("rest"))
+    write_parquet(rows.repartition(8), lake, "plain")
+    write_clustered(rows, lake, "clustered", ["key"], files=8, row_group_bytes=256 * 1024)
+    plain, clustered = row_groups(f"{lake}/plain", "key", 17), row_groups(f"{lake}/clustered", "key", 17)
+    assert plain[1] == plain[0] >= 8
+    assert clustered[0] >= 24 and clustered[1] <= 2
+    found = read_parquet(spark, lake, "clustered")
+    assert found.exceptAll(rows).count() == 0 == rows.exceptAll(found).count()
+
+
+def test_a_value_with_most_rows_is_spread_over_files(spark, lake):
+    rows = spark.range(80_000).select(F.when(F.col("id") % 10 < 7, 5).otherwise(F.col("id") % 100).alias("key"), "id")
+    write_clustered(rows, lake, "hot", ["key"], files=8)
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in files(f"{lake}/hot")]
+    assert len(sizes) == 8 and max(sizes) < 2 * 80_000 / 8
+    write_clustered(rows.limit(0), lake, "none", ["key"], files=8)
+    assert read_parquet(spark, lake, "none").count() == 0

@@ -15,11 +15,13 @@ from pyspark.sql.datasource import (
 
 from ledgerflow.sinks.warehouse import write_warehouse_table
 from ledgerflow.sources.jdbc import (
-    bounds_query, modulo_predicates, oracle_options, read_bounds, read_jdbc_table, subquery,
+    bounds_query, modulo_predicates, oracle_options, quantile_query, range_predicates, read_bounds,
+    read_jdbc_table, subquery,
 )
 from ledgerflow.sources.lake import bucket_uri, lake_path, s3a_options
 from ledgerflow.sources.warehouse import read_warehouse_table, snowflake_options
 
+# Settings as the loads are given them.
 ORACLE = {
     "host": "test-host", "port": "1521", "service_name": "test_service",
     "username": "test_user", "password": "test_pass",
@@ -69,6 +71,9 @@ class RecordingReader:
     def first(self):
         return self.session.bounds
 
+    def collect(self):
+        return [(k, bound) for k, bound in enumerate(self.session.bounds, start=1)]
+
 
 def test_oracle_options():
     options = oracle_options(ORACLE)
@@ -254,3 +259,33 @@ def test_warehouse_scans_and_writes_go_through_the_format(spark, tmp_path):
 
 def test_subquery_and_bounds_text():
     assert bounds_query(subquery("SELECT 1"), "c") == "SELECT MIN(c) AS min_val, MAX(c) AS max_val FROM (SELECT 1) tmp"
+
+
+def test_ranges_of_equally_many_rows(spark):
+    """Disjoint and exhaustive over nulls and ties; no part has more than a piece besides one value's rows."""
+    keys = [None] * 30 + [5] * 400 + [k * k for k in range(400)] + [10**12] * 3
+    rows = spark.createDataFrame([(k,) for k in keys], "k long")
+    for parts in (1, 2, 7, 40):
+        bounds = [r["bound"] for r in spark.sql(quantile_query("{t}", "k", parts), t=rows).collect()]
+        predicates = range_predicates("k", bounds)
+        assert sum(rows.filter(p).count() for p in predicates) == len(keys)
+        for predicate in predicates:
+            held = [r.k for r in rows.filter(predicate).collect() if r.k is not None]
+            assert len(held) - held.count(min(held)) <= -(-803 // parts)
+    assert range_predicates("k", []) == range_predicates("k", [None]) == range_predicates("k", [3, 3]) == ["1 = 1"]
+
+
+def test_literals_of_ranges():
+    cuts = [Decimal("1E+3"), Decimal("0.10")]
+    assert range_predicates("c", cuts) == ["c < 1000 OR c IS NULL", "c >= 1000"]
+    assert range_predicates("c", ["a", "o'b"])[1] == "c >= 'o''b'"
+    assert range_predicates("c", [date(2024, 1, 1), date(2024, 2, 1)])[1] == "c >= DATE '2024-02-01'"
+    assert range_predicates("c", [datetime(2024, 1, 1), datetime(2024, 2, 1, 3)])[1] == "c >= TIMESTAMP '2024-02-01 03:00:00'"
+
+
+def test_a_scan_by_equally_many_rows_ranks_once():
+    session = RecordingSession(bounds=[1, 4, 4, 9])
+    read_jdbc_table(session, oracle_options(ORACLE), "t", partition_column="id", num_partitions=4, equal_rows=True)
+    ranked, scan = session.calls
+    assert ranked["query"] == quantile_query("t", "id", 4) and "NTILE(4)" in ranked["query"]
+    assert scan["predicates"] == ["id < 4 OR id IS NULL", "id >= 4 AND id < 9", "id >= 9"]
