@@ -5,7 +5,9 @@ lattice, whose cells are the buckets of one table each. A vector is stored in it
 cell and looks into that and the neighbouring cells it is nearest to; a pair is a
 candidate where one's own cell is among the other's. Candidates are verified by their
 cosine in double precision, inside of the task that has the bucket: it returns for
-each vector how many links it found and a spanning set of them, not the pairs.
+each vector how many links it found and a spanning set of them, not the pairs. What goes to
+the buckets are sketches of a byte a component, which bound the cosine from above;
+whole vectors follow only where that bound reaches the threshold.
 
 A pair may meet in several buckets. It counts in one, which both vectors' cells tell.
 Equal vectors are collapsed first and weigh as many as they are. A large bucket is
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerflow.llm.graph import components, labelled
 from ledgerflow.llm.minhash import spanning
 from ledgerflow.llm.store import checked_broadcast, small_batches, written
-from ledgerflow.llm.words import mix
+from ledgerflow.llm.words import binary, mix
 
 TABLES, PROBES, SCALE = 4, 6, 0.6  # a pair with a cosine of 0.9 is found with probability 0.996, one of 0.95 with 0.99999
 BLOCK = 1024  # vectors of a bucket that are compared with as many at a time
@@ -83,22 +85,39 @@ def _by_length(batch: pa.RecordBatch):
             yield part.slice(low, SKETCHED)
 
 
-def _cells(with_vectors: bool, settings: tuple):
+def sketches(x: np.ndarray) -> np.ndarray:
+    """Each unit vector as bytes: its scale, the length of what rounding leaves out, a byte a component."""
+    scale = np.abs(x).max(axis=1) / 127
+    rounded = np.rint(x / scale[:, None]).astype(np.int8)
+    scale = scale.astype(np.float32)
+    rest = np.linalg.norm(x - rounded * scale[:, None].astype(np.float64), axis=1) * (1 + 1e-6)
+    head = np.stack([scale, rest.astype(np.float32) + np.float32(1e-7)], axis=1)
+    return np.concatenate([head.view(np.int8), rounded], axis=1)
+
+
+def most_alike(sketched: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Upper bounds of the cosines of the rows ``left`` with the rows ``right``."""
+    scale, rest = np.ascontiguousarray(sketched[:, :8]).view(np.float32).T
+    x = sketched[:, 8:].astype(np.float32) * scale[:, None]
+    # Beside the rounded vectors' product: each rest with the other vector, whose length is at most one more than its rest.
+    slack = rest[left][:, None] + rest[right] + 3 * rest[left][:, None] * rest[right]
+    return x[left] @ x[right].T + slack + np.float32(1e-4)
+
+
+def _cells(with_sketches: bool, settings: tuple):
     def run(batches):
         for batch in batches:
             for part in _by_length(batch):
-                found = cells(matrix(pa.concat_arrays([part.column("embedding")])), *settings)
+                x = matrix(pa.concat_arrays([part.column("embedding")]))
+                found = cells(x, *settings)
                 n, _, each = found.shape
                 own = np.zeros(found.shape, dtype=bool)
                 own[:, :, 0] = True
                 source = pa.array(np.repeat(np.arange(n), found.shape[1] * each))
                 columns = {"bucket": pa.array(found.ravel()), "own": pa.array(own.ravel()), "head": part.column("head").take(source)}
-                if with_vectors:
-                    for low in range(0, len(source), 1 << 15):
-                        some = source.slice(low, 1 << 15)
-                        yield pa.RecordBatch.from_pydict({k: v.slice(low, 1 << 15) for k, v in columns.items()} | {k: part.column(k).take(some) for k in ("copies", "embedding")})
-                else:
-                    yield pa.RecordBatch.from_pydict(columns)
+                if with_sketches:
+                    columns["sketch"] = binary([row.tobytes() for row in sketches(x)]).take(source)
+                yield pa.RecordBatch.from_pydict(columns)
     return run
 
 
@@ -142,10 +161,51 @@ def linked(bucket: int, heads: np.ndarray, copies: np.ndarray, stored: np.ndarra
     return names, links.astype(np.int64), names[spanning(near)]
 
 
-def _verify(least: float, settings: tuple):
-    """Links of all blocks of a partition sorted by block; a block may reach over batches."""
-    keys = ("bucket", "i", "j")
+KEYS = ("bucket", "i", "j")
+
+
+def _by_block(batches, of_block):
+    """What ``of_block`` yields for each block of a partition sorted by block; a block may reach over batches."""
+    kept = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if kept is None else pa.concat_tables([kept, table])
+        columns = [table[k].to_numpy() for k in KEYS]
+        ends = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        for low, high in zip([0, *ends.tolist()], ends.tolist(), strict=False):
+            yield from of_block(table.slice(low, high - low))
+        kept = table.slice(int(ends[-1]) if len(ends) else 0).combine_chunks()
+    if kept is not None and kept.num_rows:
+        yield from of_block(kept)
+
+
+def _hopeful(least: float):
+    """The rows of all blocks that may have a link there, as far as sketches tell."""
+    def of_block(table: pa.Table):
+        if table.num_rows < 2:
+            return
+        role = table["role"].to_numpy()
+        sketch = table["sketch"].combine_chunks()
+        sizes = np.diff(np.frombuffer(sketch.buffers()[1], dtype=np.int32)[sketch.offset:sketch.offset + len(sketch) + 1])
+        heads = table["head"].to_numpy()
+        for size in np.unique(sizes):
+            mine = np.flatnonzero(sizes == size)
+            left, right = mine[(role[mine] & STORED) > 0], mine[(role[mine] & ASKING) > 0]
+            if not len(left) or not len(right):
+                continue
+            own = np.frombuffer(b"".join(sketch.take(pa.array(mine)).to_pylist()), dtype=np.int8).reshape(len(mine), -1)
+            at = lambda rows: np.searchsorted(mine, rows)
+            near = most_alike(own, at(left), at(right)) >= least
+            near &= heads[left][:, None] != heads[right]
+            some = np.unique(np.concatenate([left[near.any(axis=1)], right[near.any(axis=0)]]))
+            if len(some):
+                yield from table.select([*KEYS, "role", "head"]).take(pa.array(some)).to_batches()
+
+    return lambda batches: _by_block(batches, of_block)
+
 
+def _verify(least: float, settings: tuple):
+    """Links of all blocks."""
     def of_block(table: pa.Table):
         role = table["role"].to_numpy()
         embedding = table["embedding"].combine_chunks()
@@ -159,19 +219,7 @@ def _verify(least: float, settings: tuple):
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["head", "links", "least"])
 
-    def run(batches):
-        kept = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if kept is None else pa.concat_tables([kept, table])
-            columns = [table[k].to_numpy() for k in keys]
-            ends = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
-            for low, high in zip([0, *ends.tolist()], ends.tolist(), strict=False):
-                yield from of_block(table.slice(low, high - low))
-            kept = table.slice(int(ends[-1]) if len(ends) else 0).combine_chunks()
-        if kept is not None and kept.num_rows:
-            yield from of_block(kept)
-    return run
+    return lambda batches: _by_block(batches, of_block)
 
 
 def near_vectors(
@@ -195,12 +243,11 @@ def near_vectors(
     heads = rows.where("print is not null").groupBy("print").agg(F.min("row").alias("head"), F.count(F.lit(1)).alias("copies"))
     heads = written(heads, "heads")
     unique = heads.select("head", "copies", F.col("print").alias("embedding"))
-    kind = unique.schema["embedding"].dataType.simpleString()
 
     narrow = unique.mapInArrow(_cells(False, settings), "bucket long, own boolean, head long")
     large = narrow.groupBy("bucket").agg(F.sum(F.col("own").cast("long")).alias("stored"), F.count(F.lit(1)).alias("entries"))
     large = written(large.where(F.col("entries") > block), "large")
-    entries = unique.mapInArrow(_cells(True, settings), f"bucket long, own boolean, head long, copies long, embedding {kind}")
+    entries = unique.mapInArrow(_cells(True, settings), "bucket long, own boolean, head long, sketch binary")
     entries = entries.join(checked_broadcast(large), "bucket", "left")
     across, down = (F.greatest(F.lit(1), F.ceil(F.coalesce(c, F.lit(1)) / block)).cast("int") for c in ("stored", "entries"))
     mine = lambda n: F.pmod(F.xxhash64("head"), n).cast("int")
@@ -210,8 +257,10 @@ def near_vectors(
     stored = F.transform(F.sequence(F.lit(0), down - 1), lambda j: place(mine(across), j, STORED))
     alone = F.array(place(0, 0, F.when(F.col("own"), STORED | ASKING | OWN).otherwise(ASKING)))
     places = F.when(F.col("entries").isNull(), alone).when(F.col("own"), F.concat(stored, asking)).otherwise(asking)
-    entries = entries.select("bucket", F.explode(places).alias("place"), "head", "copies", "embedding")
-    blocks = entries.select("bucket", "place.*", "head", "copies", "embedding").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    entries = entries.select("bucket", F.explode(places).alias("place"), "head", "sketch")
+    blocks = entries.select("bucket", "place.*", "head", "sketch").repartition(*KEYS).sortWithinPartitions(*KEYS)
+    hopeful = written(blocks.mapInArrow(_hopeful(least), "bucket long, i int, j int, role int, head long"), "hopeful")
+    blocks = hopeful.join(unique, "head").repartition(*KEYS).sortWithinPartitions(*KEYS)
     found = written(blocks.mapInArrow(_verify(least, settings), "head long, links long, least long"), "found")
 
     links = found.groupBy("head").agg(F.sum("links").alias("links"))

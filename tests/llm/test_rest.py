@@ -247,6 +247,46 @@ def duck():
     return connection
 
 
+def test_sketches_bound_the_cosine():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 48)) ** 3
+    x[200:] = x[:200] + 0.3 * rng.normal(size=(200, 48))
+    x[5], x[6] = np.eye(48)[0], -np.eye(48)[0] * 1e-9
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = np.arange(400)
+    bound = lattice.most_alike(lattice.sketches(x), rows, rows)
+    cosine = x @ x.T
+    assert (bound >= cosine).all() and (bound - cosine).max() < 0.1
+
+
+def test_many_linked_and_chained_vectors(spark):
+    """Thousands of links: groups of near copies, equal rows and chains, against all pairs."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(150):  # copies of one vector, close to each other
+        centre = rng.normal(size=64)
+        rows += [centre + 0.06 * rng.normal(size=64) for _ in range(1 + k % 12)]
+    for _ in range(40):  # each vector is near the next one only
+        a, b = np.linalg.qr(rng.normal(size=(64, 2)))[0].T
+        rows += [np.cos(0.3 * j) * a + np.sin(0.3 * j) * b for j in range(9)]
+    rows += [rows[7]] * 30
+    order = rng.permutation(len(rows))
+    x = np.array(rows)[order]
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    least, links = np.arange(len(x)), near.sum(axis=1)
+    while True:
+        lower = np.minimum(least, np.where(near, least[None, :], len(x)).min(axis=1))
+        if (lower == least).all():
+            break
+        least = lower
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    found = {r.vec_id: r for r in lattice.near_vectors(frame).collect()}
+    assert links.sum() > 3000 and len(found) == len(x)
+    assert {k: (r.n_links, r.component_id, r.kept) for k, r in found.items()} == {k: (links[k], least[k], least[k] == k) for k in range(len(x))}
+
+
 @pytest.mark.parametrize("name", sorted(k for k, (_, sql) in queries.QUERIES.items() if sql))
 def test_same_rows_as_duckdb(spark, duck, name):
     run, sql = queries.QUERIES[name]
