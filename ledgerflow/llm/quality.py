@@ -22,6 +22,7 @@ BEGINNING = 4  # bytes of a word's beginning
 MOST_RATED = 3_000  # rated documents of each grade that the fit reads at most
 EPOCHS = 12
 RATE, DECAY = 0.5, 2e-6
+RELEVANT = 5  # standard errors at which a feature counts as it is
 GRADES = 3
 
 
@@ -98,12 +99,31 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def relevance(numbers: np.ndarray, at: np.ndarray, grades: np.ndarray, n_grades: int = GRADES) -> np.ndarray:
+    """How far the shares of documents with a feature lie apart in two neighbouring grades,
+    the greatest of all, in standard errors; squared and scaled, so that chance differences
+    of a large vocabulary weigh next to nothing."""
+    grade = np.repeat(grades, np.diff(at))
+    there = [np.bincount(numbers[grade == k], minlength=DIMENSION).astype(float) for k in range(n_grades)]
+    rated = [k for k in range(n_grades) if (grades == k).any()]
+    out = np.full(DIMENSION, 0.0 if len(rated) > 1 else 1.0)
+    for a, b in zip(rated, rated[1:], strict=False):
+        n, m = (grades == a).sum(), (grades == b).sum()
+        share = (there[a] + there[b] + 1) / (n + m + 2)
+        apart = np.abs(there[a] / n - there[b] / m) / np.sqrt(share * (1 - share) * (1 / n + 1 / m))
+        out = np.maximum(out, (apart / RELEVANT) ** 2)
+    return out
+
+
 def fit(numbers: np.ndarray, values: np.ndarray, at: np.ndarray, grades: np.ndarray, importance: np.ndarray, n_grades: int = GRADES, seed: int = 7):
     """Weights and ascending thresholds by stochastic gradient descent on the likelihood of the grades.
 
     The likelihood of grade g is P(grade >= g) - P(grade >= g + 1). Without rated
-    rows the weights are 0 and all grades equally likely.
+    rows the weights are 0 and all grades equally likely. Features are scaled by their
+    ``relevance`` while they are fitted.
     """
+    scale = relevance(numbers, at, grades, n_grades) if len(grades) else np.ones(DIMENSION)
+    values = values * scale[numbers]
     weights, squares = np.zeros(DIMENSION), np.full(DIMENSION, 1e-3)
     total = importance.sum()
     tail = [(importance[grades >= k].sum() + 1) / (total + n_grades) * (1 if total else n_grades - k) for k in range(1, n_grades)]
@@ -128,7 +148,7 @@ def fit(numbers: np.ndarray, values: np.ndarray, at: np.ndarray, grades: np.ndar
             by_cut = (np.bincount(g, from_low, minlength=n_grades)[1:] - np.bincount(g + 1, from_high, minlength=n_grades + 1)[1:-1]) / len(rows)
             cut_squares += by_cut**2
             cuts = np.maximum.accumulate(cuts - RATE * 0.2 * by_cut / np.sqrt(cut_squares))
-    return weights.astype(np.float32), cuts
+    return (weights * scale).astype(np.float32), cuts
 
 
 def _rows_of_features(grade: str):
@@ -147,8 +167,9 @@ def fit_ratings(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", tex
     """Weights and thresholds from ``ratings(doc_id, grade)`` with grades from 0 to n_grades - 1.
 
     The fit reads at most ``most_rated`` documents of each grade, those whose ids have
-    the smallest hashes; all grades weigh the same, however rare. Their features, not
-    their texts, come to the driver. Ratings with a null or of unknown documents don't
+    the smallest hashes; all grades weigh the same, however rare. Of documents with the
+    same id one is read, the same each time. Their features, not their texts, come to
+    the driver. Ratings with a null or of unknown documents don't
     count; without any the model rates all texts alike.
     """
     small_batches(docs.sparkSession)
@@ -156,7 +177,8 @@ def fit_ratings(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", tex
     rated = ratings.select(F.col("doc_id"), F.col("grade").cast("int").alias("grade")).where(F.col("doc_id").isNotNull() & F.col("grade").between(0, n_grades - 1))
     chosen = bounded_sample(rated, "grade", "doc_id", most_rated)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = texts.mapInArrow(_rows_of_features("grade"), f"doc_id {kind}, grade int, numbers array<int>, values array<float>").dropDuplicates(["doc_id", "grade"])
+    rows = texts.mapInArrow(_rows_of_features("grade"), f"doc_id {kind}, grade int, numbers array<int>, values array<float>")
+    rows = rows.groupBy("doc_id", "grade").agg(F.min(F.struct("numbers", "values")).alias("f")).select("doc_id", "grade", "f.*")
     table = rows.sort("doc_id", "grade").toArrow().combine_chunks()
     grades = table["grade"].to_numpy()
     if not len(grades):
