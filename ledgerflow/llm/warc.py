@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerflow.llm.store import SALTS, folder, small_batches, written
 
 RECORDS_A_FILE = 1000
+LARGE = 1 << 18  # bytes of a payload beyond which its record has a file of its own; a file's others make 256 MB at most
 CAPTURED = "20240101000000"  # the pages table holds no time of capture
 ADDRESS = "0.0.0.0"
 
@@ -78,26 +79,28 @@ def _arc_lines(records_a_file: int):
     return run
 
 
-def _text_files(records: DataFrame, name: str, records_a_file: int) -> str:
-    path = folder(records.sparkSession, name)
+def _text_files(records: DataFrame, path: str, records_a_file: int) -> None:
     lines = records.select(F.col("value").cast("string").alias("value"))
     lines.write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", records_a_file + 1).text(path)
-    return path
 
 
 def write_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", records_a_file: int = RECORDS_A_FILE) -> str:
     """The folder of ARC files of both versions that hold one HTTP response for each page.
 
     A null html is empty; a page without url is named by its id; url characters that
-    end a header field are percent-encoded.
+    end a header field are percent-encoded. A file holds ``records_a_file`` pages of up to
+    LARGE bytes, or one larger page.
     """
     small_batches(pages.sparkSession)
     rows = pages.select(F.col(id_col), F.col(url_col), F.col(html_col))
-    return _text_files(rows.mapInArrow(_arc_lines(records_a_file), "value binary"), "arc", records_a_file)
+    path, large = folder(pages.sparkSession, "arc"), F.coalesce(F.octet_length(html_col), F.lit(0)) > LARGE
+    for name, some, records in (("small", ~large, records_a_file), ("large", large, 1)):
+        _text_files(rows.where(some).mapInArrow(_arc_lines(records), "value binary"), f"{path}/{name}", records)
+    return path
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
 
 def _plain(content: bytes) -> bytes:
@@ -215,7 +218,8 @@ def convert(spark: SparkSession, arc: str, least_bytes: int = 0, records_a_file:
 
     Of the records with equal payloads of at least ``least_bytes``, the one with the
     largest page id is the response, null ids last, and the others revisit it; all
-    smaller ones are responses.
+    smaller ones are responses. The records of an ARC file that holds a payload of over LARGE
+    bytes get a WARC file each.
     """
     index = written(_files(spark, arc).mapInArrow(_index, "path string, number long, page_id long, record_id string, url string, date string, payload_digest string, payload_bytes long"), "index")
     same = ["payload_digest", "payload_bytes"]
@@ -226,8 +230,15 @@ def convert(spark: SparkSession, arc: str, least_bytes: int = 0, records_a_file:
     revisits = salted.join(spread, [*same, "salt"]).where(F.col("record_id") != F.col("best.record_id"))
     # At most a file's records for each file.
     refers = revisits.groupBy("path").agg(F.collect_list(F.struct("number", "best.record_id", "best.url", "best.date")).alias("refers"))
-    records = _files(spark, arc).join(refers, "path", "left").mapInArrow(_warc_lines(records_a_file), "value binary")
-    return _text_files(records, "warc", records_a_file)
+    facts = index.groupBy("path").agg((F.max("payload_bytes") > LARGE).alias("large"))
+    facts = written(facts.join(refers, "path", "left"), "files")
+    path = folder(spark, "warc")
+    for name, some, records in (("small", ~F.col("large"), records_a_file), ("large", F.col("large"), 1)):
+        own = facts.where(some)
+        if name == "small" or not own.isEmpty():
+            found = _files(spark, arc).join(own, "path").mapInArrow(_warc_lines(records), "value binary")
+            _text_files(found, f"{path}/{name}", records)
+    return path
 
 
 def parse_warc(data: bytes):

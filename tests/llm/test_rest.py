@@ -306,6 +306,22 @@ def test_urls_that_look_like_a_version_record(spark, tmp_path):
         assert got == {(k, len(h), warc.sha1(h.encode()), 4 if k == 1 else None) for k, _, h in rows}
 
 
+def test_large_pages_have_files_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(warc, "LARGE", 2000)
+    rows = [(k, "http://a", ("z" * 5000 if k % 10 == 0 else "w") + str(k % 40)) for k in range(200)] + [(900, None, None)]
+    given = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    arc = warc.write_arc(given)
+    found = warc.convert(spark, arc)
+    for path in (arc, found):
+        sizes = [len(warc._plain(f["content"])) for f in warc._files(spark, path).collect()]
+        assert max(sizes) < 8000 + 200 * 600 and sum(s > 5000 for s in sizes) >= (20 if path == arc else 4)
+        large = [warc._plain(f["content"]) for f in warc._files(spark, f"{path}/large").collect()]
+        assert all(content.count(b"zzzzz0") <= 1 and len(content) < 8000 for content in large)
+    last = {html: max(k for k, _, h in rows if h == html) for _, _, html in rows}
+    got = {(r.page_id, r.payload_bytes, r.refers_to) for r in warc.read_warc(spark, found).collect()}
+    assert got == {(k, len(h or ""), None if last[h] == k else last[h]) for k, _, h in rows}
+
+
 def test_archives_of_repeated_pages(spark, tmp_path):
     """A table with large groups of equal pages: one response each, all others revisit it."""
     rows = [(k, f"http://a/{k}", f"<p>{k % 5 if k % 3 else 'all the same'}</p>" * (1 + k % 2)) for k in range(3000)]
