@@ -24,6 +24,7 @@ EPOCHS = 12
 RATE, DECAY = 0.5, 2e-6
 RELEVANT = 5  # standard errors at which a feature counts as it is
 GRADES = 3
+GROUPS = 3  # of features, each of length one
 
 
 def _beginnings(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -120,9 +121,15 @@ def fit(numbers: np.ndarray, values: np.ndarray, at: np.ndarray, grades: np.ndar
 
     The likelihood of grade g is P(grade >= g) - P(grade >= g + 1). Without rated
     rows the weights are 0 and all grades equally likely. Features are scaled by their
-    ``relevance`` while they are fitted.
+    ``relevance`` while they are fitted, and no less than to the length that texts have
+    without: few ratings show small differences only.
     """
-    scale = relevance(numbers, at, grades, n_grades) if len(grades) else np.ones(DIMENSION)
+    scale = np.ones(DIMENSION)
+    if len(grades):
+        scale = relevance(numbers, at, grades, n_grades)
+        rows = np.repeat(np.arange(len(grades)), np.diff(at))
+        length = np.sqrt(np.bincount(rows, (values * scale[numbers]) ** 2, minlength=len(grades))).mean()
+        scale = scale * max(1.0, GROUPS**0.5 / length) if length else np.ones(DIMENSION)
     values = values * scale[numbers]
     weights, squares = np.zeros(DIMENSION), np.full(DIMENSION, 1e-3)
     total = importance.sum()

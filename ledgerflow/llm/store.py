@@ -5,23 +5,30 @@ below ``spark.checkpoint.dir``; only a local session that names none gets a fold
 of this machine.
 """
 
+from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ledgerflow.operators.size import shared_folder
+from ledgerflow.operators.size import broadcast_bytes, shared_folder
+from ledgerflow.sources.paths import remove
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 1000
 SALTS = 32  # tasks over which the rows of one group are spread
-# Rows of one long key that are broadcast at most: 16 MB of keys, under 100 MB
-# as a hash table. Beyond that the join is shuffled.
+# Rows that are broadcast at most: with one long key 16 MB of keys, under 100 MB
+# as a hash table. Beyond that, or beyond these bytes, the join is shuffled.
 MOST_BROADCAST_KEYS = 1_000_000
+MOST_BROADCAST_BYTES = 128 << 20
+FIXED_WIDTH = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz")
+
+_folders: list[str] = []  # made by this process, in their order
 
 
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder on the storage all executors share."""
-    return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+    _folders.append(f"{shared_folder(spark)}/{name}-{uuid4().hex}")
+    return _folders[-1]
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -47,6 +54,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``build`` describes, as a written table; the tables that led there are removed.
+
+    Nothing else that reads tables written meanwhile may be in use; one operator or stage
+    after the other is what this is for.
+    """
+    began = len(_folders)
+    out = written(build(), name)
+    for path in _folders[began:-1]:
+        remove(spark, path)
+    del _folders[began:-1]
+    return out
+
+
 def bounded_sample(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
     """At most ``most`` rows of each of a few groups: those whose keys have the smallest hashes.
 
@@ -60,10 +81,11 @@ def bounded_sample(rows: DataFrame, group: str, key: str, most: int) -> DataFram
 
 
 def checked_broadcast(keys: DataFrame) -> DataFrame:
-    """``keys`` (narrow rows of a written table) marked for broadcast where few enough."""
-    if keys.limit(MOST_BROADCAST_KEYS + 1).count() <= MOST_BROADCAST_KEYS:
-        return F.broadcast(keys)
-    return keys
+    """``keys`` (narrow rows of a written table) marked for broadcast where few and small enough."""
+    if keys.limit(MOST_BROADCAST_KEYS + 1).count() > MOST_BROADCAST_KEYS:
+        return keys
+    fixed = all(kind in FIXED_WIDTH for _, kind in keys.dtypes)
+    return F.broadcast(keys) if fixed or broadcast_bytes(keys) <= MOST_BROADCAST_BYTES else keys
 
 
 def without(rows: DataFrame, dropped: DataFrame, key: str) -> DataFrame:

@@ -344,6 +344,42 @@ def test_archives_of_all_pages(spark, duck):
         assert rows[i].payload_bytes == len(html.encode())
 
 
+def test_broadcasts_are_bounded_by_bytes(spark, monkeypatch):
+    from ledgerflow.llm import store
+
+    long_ids = written(spark.range(100).select(F.repeat(F.lit("x"), 10_000).alias("k"), "id"), "keys")
+    assert "broadcast" in store.checked_broadcast(long_ids)._jdf.queryExecution().logical().toString()
+    monkeypatch.setattr(store, "MOST_BROADCAST_BYTES", 100_000)
+    assert "broadcast" not in store.checked_broadcast(long_ids)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in store.checked_broadcast(long_ids.select("id"))._jdf.queryExecution().logical().toString()
+    monkeypatch.setattr(store, "MOST_BROADCAST_KEYS", 99)
+    assert "broadcast" not in store.checked_broadcast(long_ids.select("id"))._jdf.queryExecution().logical().toString()
+
+
+def test_tables_on_the_way_are_removed(spark, tmp_path):
+    from ledgerflow.llm import store
+    from ledgerflow.sources.paths import exists
+
+    made = []
+
+    def build():
+        first = written(spark.range(5), "first")
+        made.append(store._folders[-1])
+        return first.withColumn("x", F.lit(1))
+
+    out = store.settled(spark, build, "out")
+    assert out.count() == 5 and not exists(spark, made[0]) and exists(spark, store._folders[-1])
+
+
+def test_pipeline_leaves_its_stages_only(spark):
+    import corpus_pipeline as pipeline
+    from ledgerflow.llm import store
+
+    began = len(store._folders)
+    assert pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+    assert len(store._folders) - began == len(pipeline.STAGES)
+
+
 def test_pipeline(spark):
     """Each stage on what its predecessor kept, against its operator's own decisions."""
     import corpus_pipeline as pipeline
