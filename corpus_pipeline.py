@@ -17,7 +17,7 @@ from ledgerflow.llm.mixing import repeated
 from ledgerflow.llm.packing import checksums, pack
 from ledgerflow.llm.quality import selected
 from ledgerflow.llm.queries import TARGETS, quality_model, table
-from ledgerflow.llm.store import without, written
+from ledgerflow.llm.store import settled, without, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,10 +60,10 @@ STAGES = [("quality", quality), ("exact_dedup", exact_dedup), ("near_dedup", nea
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; each stage's own tables are removed once its result is stored."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = settled(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name)
     return docs
 
 
