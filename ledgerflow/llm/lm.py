@@ -30,7 +30,7 @@ END, START = np.uint64(0x1D8E4E27C47D124F), np.uint64(0x5851F42D4C957F2D)  # tok
 STEP = 1.5  # ratio of two levels' counts
 LEVELS = 80
 PAIR_FROM = 1  # least count of a pair in the filter: all of them
-PROBES, BITS_AN_ENTRY = 4, 16
+PROBES, BITS_AN_ENTRY = 4, 12
 MOST_FILTER_BYTES = 128 << 20  # broadcast; a larger filter is joined
 MOST_FREQUENT = 1 << 20  # words whose exact counts are broadcast
 DISCOUNT = 0.5
