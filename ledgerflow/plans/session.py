@@ -23,6 +23,8 @@ def session_options(load_bytes: int | None = None, most_tasks: int = MOST_TASKS)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
         "spark.kryoserializer.buffer.max": "512m",
+        # A load divides its rows among a few folders; so many files open at once save a sort.
+        "spark.sql.maxConcurrentOutputFileWriters": "4",
     }
     if load_bytes is not None:
         per_task = max(TASK_BYTES, ceil(load_bytes / most_tasks))
