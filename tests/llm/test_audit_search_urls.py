@@ -5,34 +5,16 @@ import re
 from collections import Counter
 from itertools import combinations, permutations
 
-import duckdb
 import numpy as np
 import pytest
 from llm_corpus import clashing, corpus, docs, lower, no_docs, prose  # noqa: F401
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import filter_audit, queries, search, url_rules
+from ledgerflow.llm import filter_audit, search, url_rules
 
 SF = "/root/testdata/sf0.01"
 
 
-@pytest.fixture(scope="module")
-def duck():
-    connection = duckdb.connect()
-    for name in ("documents", "labels", "benchmark", "pages"):
-        connection.sql(f"create view {name} as select * from '{SF}/{name}.parquet'")
-    return connection
-
-
-@pytest.mark.parametrize("name", ["op11_url_rules", "op12_filter_audit", "op13_search"])
-def test_same_rows_as_duckdb(spark, duck, name):
-    run, sql = queries.QUERIES[name]
-    found = run(spark, SF)
-    order = ", ".join(sorted(found.columns))
-    want = Counter(duck.sql(f"select {order} from ({sql})").fetchall())
-    assert want and Counter(tuple(r) for r in found.select(*sorted(found.columns)).collect()) == want
-
-
 # Url rules
 
 GIVEN = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}

@@ -242,7 +242,7 @@ def test_recall_at_the_threshold(spark):
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "embeddings", "pages", "labels"):
+    for name in ("documents", "embeddings", "pages", "labels", "benchmark"):
         connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     return connection
 
