@@ -3,7 +3,6 @@
 import random
 import threading
 from dataclasses import replace
-from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from ledgerflow.operators.evolution import SchemaChanged, merged_schema, shaped
 from ledgerflow.plans import loads
 from ledgerflow.plans.incremental import SequenceTaken, changed_since, commit_path, update_watermark
 from ledgerflow.plans.loads import (
-    WATERMARKS, ValidationFailed, committed, current_rows, customer_load, read_rejected, read_table, run_all, run_load,
+    WATERMARKS, ValidationFailed, current_rows, customer_load, read_rejected, read_table, run_all, run_load,
 )
 from ledgerflow.plans.snapshots import bucket_of, read_current, take_snapshot
 from ledgerflow.plans import snapshots
