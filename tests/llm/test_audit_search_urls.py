@@ -8,7 +8,6 @@ from itertools import combinations, permutations
 import numpy as np
 import pytest
 from llm_corpus import clashing, corpus, docs, lower, no_docs, prose  # noqa: F401
-from pyspark.sql import functions as F
 
 from ledgerflow.llm import filter_audit, search, url_rules
 
