@@ -31,15 +31,15 @@ def folder(spark: SparkSession, name: str) -> str:
     return _folders[-1]
 
 
-def small_batches(spark: SparkSession) -> None:
-    """From now on Python tasks of the session get at most BATCH_ROWS rows at once.
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """From now on Python tasks of the session get at most ``rows`` rows at once.
 
     Whole documents are long; ten thousand of them, Spark's default, take much memory
     in both the JVM and Python. A smaller setting of the caller's stays.
     """
     now = int(spark.conf.get(ARROW_ROWS))
-    if not 0 < now <= BATCH_ROWS:
-        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+    if not 0 < now <= rows:
+        spark.conf.set(ARROW_ROWS, str(rows))
 
 
 def row_number(column: str | None) -> Column:
