@@ -17,7 +17,9 @@ from ledgerflow.llm.mixing import repeated
 from ledgerflow.llm.packing import checksums, pack
 from ledgerflow.llm.quality import selected
 from ledgerflow.llm.queries import TARGETS, quality_model, table
-from ledgerflow.llm.store import settled, without, written
+from ledgerflow.llm.store import settled, small_batches, without, written
+
+LONG_ROWS = 250  # documents of the mix that a Python task gets at once
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +54,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The tokenised documents as pieces of packed sequences."""
+    """The tokenised documents as pieces of packed sequences.
+
+    The mix is rich in long documents, so the session's Python tasks get fewer at once.
+    """
+    small_batches(spark, LONG_ROWS)
     return checksums(pack(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
