@@ -128,9 +128,11 @@ def fit(numbers: np.ndarray, values: np.ndarray, at: np.ndarray, grades: np.ndar
     if len(grades):
         scale = relevance(numbers, at, grades, n_grades)
         rows = np.repeat(np.arange(len(grades)), np.diff(at))
-        length = np.sqrt(np.bincount(rows, (values * scale[numbers]) ** 2, minlength=len(grades))).mean()
+        scaled = values * scale.astype(np.float32)[numbers]
+        length = np.sqrt(np.bincount(rows, scaled * scaled, minlength=len(grades))).mean()
         scale = scale * max(1.0, GROUPS**0.5 / length) if length else np.ones(DIMENSION)
-    values = values * scale[numbers]
+        del rows, scaled
+    values = values * scale.astype(np.float32)[numbers]
     weights, squares = np.zeros(DIMENSION), np.full(DIMENSION, 1e-3)
     total = importance.sum()
     tail = [(importance[grades >= k].sum() + 1) / (total + n_grades) * (1 if total else n_grades - k) for k in range(1, n_grades)]
