@@ -1,5 +1,6 @@
 """Packing and token counts against the tokenizers library."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -7,11 +8,13 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 from llm_corpus import ODD, clashing, corpus, docs, no_docs, prose  # noqa: F401
 from tokenizers import Tokenizer
 
 from ledgerflow.llm.packing import Encoder, checksums, harmonic_cuts, pack
-from ledgerflow.llm.token_counts import TokenCounter, token_counts
+from ledgerflow.llm.token_counts import LONGEST, SPLIT, TokenCounter, pretokens, token_counts
+from ledgerflow.llm.words import flat
 
 WORD, BYTE = (public_tokenizers.path(f"{n}.json") for n in ("word_bpe_49k", "byte_bpe_50k"))
 
@@ -36,6 +39,44 @@ def test_counts_of_odd_texts():
     assert counter.counts([]) == []
 
 
+def mixed(seed, n):
+    """Texts of apostrophes, white space, marks, numbers and letters beyond ASCII, in any order."""
+    own = random.Random(seed)
+    parts = ["'", "s", "t", "re", "ll", " ", "  ", "\n", "\t", "B", "word", "é", "ŉ", "23", "²", "¼", "ª", "«", "×", "÷", "$$", "<|", "the", "ing", "a" * 9, "xyz" * 15]
+    return ["".join(own.choices(parts, k=own.randrange(14))) for _ in range(n)]
+
+
+def test_pretokens_are_those_of_the_pattern():
+    texts = mixed(1, 3000)
+    data, starts = flat(pa.array(texts))
+    want = [p.encode() for t in texts for p in regex.findall(SPLIT, t)]
+    bounds = [*pretokens(data, starts).tolist(), len(data)]
+    assert [data[lo:hi].tobytes() for lo, hi in zip(bounds, bounds[1:], strict=False)] == want
+
+
+def test_plain_texts_are_counted_without_the_library():
+    """Merges of short pre-tokens are made here; only other texts and long pre-tokens are encoded."""
+    counter, plain = TokenCounter(contents(BYTE)), Tokenizer.from_file(BYTE)
+    texts = mixed(2, 5000)
+    want = [len(plain.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert counter.counts(texts) == want
+
+    class Recording:
+        asked = []
+
+        def encode_batch_fast(self, pretokens, **options):
+            self.asked += pretokens
+            return plain.encode_batch_fast(pretokens, **options)
+
+    counter = TokenCounter(contents(BYTE))
+    counter.tokenizer = Recording()
+    assert counter.counts(texts) == want
+    assert all(len(p.encode()) > LONGEST for p in Recording.asked) and len(Recording.asked) == len(set(Recording.asked))
+    counter.merges_bytes = False  # as with a tokenizer of other merges
+    counter.known = {}
+    assert counter.counts(texts[:500]) == want[:500]
+
+
 def test_token_counts(docs, no_docs):
     plain = Tokenizer.from_file(BYTE)
     want = Counter((i, len((t or "").encode()), n := len(plain.encode(t or "", add_special_tokens=False).ids), n > 1024) for i, t, *_ in corpus())
